@@ -3,11 +3,13 @@
 A byte goes if a string of ``LENGTH`` = 50 bytes covers it that also starts in a
 document of smaller id. Three steps, all over whole texts:
 
-1. Every 50-byte window has one anchor: of the 24-byte strings inside it, the
+Exact copies of a whole text are folded first: copies of the one with the least id go whole. Then:
+
+1. Every 50-byte window has one anchor: of the 16-byte strings inside it, the
    leftmost of least hash. Equal windows have equal anchors, so only windows whose
    anchor occurs in two documents can repeat. Groups ask buckets about their different
    anchors (exchange.py).
-2. Neighbouring windows of one such anchor make a piece of at most 76 bytes. A bucket gets each
+2. Neighbouring windows of one such anchor make a piece of at most 84 bytes. A bucket gets each
    different piece of its anchors with the least id that has it, and indexes them in
    slabs of ``SLAB`` bytes (an anchor's pieces stay together): the suffix
    order, its run-compressed Burrows-Wheeler transform with suffix positions
@@ -26,12 +28,13 @@ from __future__ import annotations
 
 import numpy as np
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import common, exchange
 
-LENGTH, ANCHOR = 50, 24
+LENGTH, ANCHOR = 50, 16
 SPREAD = LENGTH - ANCHOR + 1
 #: Bytes of text that are anchored, and indexed, at a time.
 CHUNK, SLAB = 1 << 21, 1 << 19
@@ -47,7 +50,7 @@ def anchor_hashes(text: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
         x *= np.uint64(0x9E3779B97F4A7C15)
         x ^= x >> np.uint64(29)
-        return common.mix64(x[:n] + x[8 : n + 8] * np.uint64(0xD6E8FEB86659FD93) + x[16 : n + 16] * np.uint64(0xA0761D6478BD642F))
+        return common.mix64(x[:n] + x[8 : n + 8] * np.uint64(0xD6E8FEB86659FD93))
 
 
 def windows(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +102,7 @@ class Index:
             ahead[more] = rank[more + depth] + 1
             rank = dense(rank * (n + 1) + ahead)
             depth *= 2
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank * (n + 1) + np.arange(n))  # ties by place
         self.least = np.full(n, NONE)
         at = np.flatnonzero(self.left >= LENGTH)
         if len(at):  # the first 32 and the last 32 bytes name the 50
@@ -127,7 +130,8 @@ class Index:
         kept = np.minimum(self.left, 8)
         word[kept == 0] = 0
         word &= ~np.uint64(0) << (np.uint64(64) - np.maximum(kept, 1).astype(np.uint64) * np.uint64(8))
-        order = np.lexsort((kept, word))
+        # Without zero bytes in the text, the zeros that fill a word tell how many bytes it has.
+        order = np.lexsort((kept, word)) if (self.text[self.left > 0] == 0).any() else np.argsort(word)
         step = (word[order][1:] != word[order][:-1]) | (kept[order][1:] != kept[order][:-1])
         out = np.zeros(len(word), np.int64)
         out[order[1:]] = np.cumsum(step)
@@ -181,7 +185,7 @@ class Index:
 
 def dense(key: np.ndarray) -> np.ndarray:
     """Ranks of the keys; equal keys have equal ranks."""
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     out = np.zeros(len(key), np.int64)
     out[order[1:]] = np.cumsum(key[order][1:] != key[order][:-1])
     return out
@@ -239,11 +243,32 @@ def in_slabs(anchors: np.ndarray, pieces: list[bytes], ids: np.ndarray) -> list[
     return out
 
 
-def chunks(ids: list, raw: list[bytes]):
-    """(places of documents, text, ends) for some documents at a time; null ids and short texts are left out."""
+def copies(docs: DataFrame) -> DataFrame:
+    """(g, copies): ids, packed, of a group's documents whose whole text a smaller id has too."""
+    mine = docs.where("doc_id is not null").select("g", "doc_id", F.unhex(F.md5("b")).alias("h"))
+    first = mine.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select(F.col("h").alias("t"), "least")
+    later = mine.join(first, F.col("h") == F.col("t")).where("doc_id > least")
+    return later.groupBy("g").agg(F.collect_list("doc_id").alias("copies")).select((F.col("g") + 0).alias("g"), "copies")
+
+
+def member(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of x are in the ascending array ``known``."""
+    if not len(known):
+        return np.zeros(len(x), bool)
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
+
+
+def told(rows: list[dict]) -> tuple[set[int], list[dict]]:
+    """(ids of whole copies, the other answers) of a group."""
+    return {i for r in rows for i in r["copies"] or []}, [r for r in rows if r["copies"] is None]
+
+
+def chunks(ids: list, raw: list[bytes], whole: set[int]):
+    """(places of documents, text, ends) for some documents at a time; null ids, short texts and
+    whole copies are left out."""
     some, size = [], 0
     for k, (i, r) in enumerate(zip(ids, raw, strict=True)):
-        if i is not None and len(r) >= LENGTH:
+        if i is not None and len(r) >= LENGTH and i not in whole:
             some.append(k)
             size += len(r)
             if size >= CHUNK:
@@ -275,14 +300,15 @@ LEAST = "g int, anchors binary, keys binary, windows binary, runs binary, run_id
 TWO = np.uint64(1)
 
 
-def shared_anchors(docs: DataFrame) -> DataFrame:
+def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
     """Each group's anchors that two or more documents have."""
     n = exchange.partitions(docs)
 
-    def ask(table):
+    def ask(table, got):
         ids = table.column("doc_id").to_pylist()
+        whole, _ = told(got.to_pylist())
         found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for some, text, ends in chunks(ids, table.column("b").to_pylist()):
+        for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
             _, _, h, doc = windows(text, ends)
             found[0].append(h | TWO)
             found[1].append(np.array([ids[k] for k in some], np.int64)[doc])
@@ -299,16 +325,23 @@ def shared_anchors(docs: DataFrame) -> DataFrame:
         return exchange.table_of(ASK, list(zip(*rows, strict=True)))
 
     def answer(rows):
-        mine = [np.frombuffer(r["keys"], "<u8") for r in rows]
-        keys = np.concatenate(mine)
-        every, times = np.unique(keys | TWO, return_counts=True)
-        twice = np.union1d(every[times > 1], keys[keys & TWO > 0])
-        for r, k in zip(rows, mine, strict=True):
-            hit = (k | TWO)[np.isin(k | TWO, twice)]
-            if len(hit):
-                yield r["g"], hit.tobytes()
+        keys = _blobs(rows, "keys", "<u8")
+        order = np.argsort(keys | TWO, kind="stable")
+        value, here = (keys | TWO)[order], (keys & TWO)[order] > 0
+        start = np.concatenate([[0], np.flatnonzero(value[1:] != value[:-1]) + 1])
+        times = np.diff(start, append=len(value))
+        twice = (times > 1) | np.logical_or.reduceat(here, start)
+        hit = np.empty(len(keys), bool)
+        hit[order] = np.repeat(twice, times)
+        at = 0
+        for r in rows:
+            n = len(r["keys"]) // 8
+            mine = (keys[at : at + n] | TWO)[hit[at : at + n]]
+            at += n
+            if len(mine):
+                yield r["g"], mine.tobytes()
 
-    return exchange.per_bucket(exchange.per_group(docs, ASK, ask), SHARED, answer)
+    return exchange.per_bucket(exchange.per_group_with(docs, same, ASK, ask), SHARED, answer)
 
 
 def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
@@ -316,15 +349,15 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
     n = exchange.partitions(docs)
 
     def ask(table, got):
-        rows = got.to_pylist()
+        whole, rows = told(got.to_pylist())
         if not rows or not table.num_rows:
             return exchange.table_of(ASK_PIECES, [])
         known = np.sort(_blobs(rows, "keys", "<u8"))
         ids = table.column("doc_id").to_pylist()
         pieces: dict[int, list] = {}
-        for some, text, ends in chunks(ids, table.column("b").to_pylist()):
+        for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
             first, last, h, doc = windows(text, ends)
-            use = np.isin(h | TWO, known)
+            use = member(known, h | TWO)
             first, last, h, doc = first[use], last[use], h[use] | TWO, doc[use]
             raw, whose = text.tobytes(), np.array([ids[k] for k in some], np.int64)[doc]
             for key, anchor, i, a, b in zip(piece_keys(h, text, first, last).tolist(), h.tolist(), whose.tolist(), first.tolist(), (last + LENGTH).tolist(), strict=True):
@@ -338,12 +371,12 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         raw = [v[2] for v in pieces.values()]
         g, out = table.column("g")[0].as_py(), []
         for k, at in exchange.split(anchors, n):
-            out.append((k, g, anchors[at].tobytes(), keys[at].tobytes(), low[at].tobytes(), bytes(len(raw[x]) for x in at), b"".join(raw[x] for x in at)))
+            out.append((k, g, anchors[at].tobytes(), keys[at].tobytes(), low[at].tobytes(), bytes(len(raw[x]) for x in at), zstandard.compress(b"".join(raw[x] for x in at), 3)))
         return exchange.table_of(ASK_PIECES, list(zip(*out, strict=True)))
 
     def answer(rows):
         keys, anchors, ids, size = (_blobs(rows, x, k) for x, k in (("keys", "<u8"), ("anchors", "<u8"), ("ids", "<i8"), ("sizes", "u1")))
-        raw, ends = b"".join(r["raw"] for r in rows), np.cumsum(size.astype(np.int64))
+        raw, ends = b"".join(zstandard.decompress(r["raw"]) for r in rows), np.cumsum(size.astype(np.int64))
         every, place, back = np.unique(keys, return_index=True, return_inverse=True)
         low = np.full(len(every), NONE)
         np.minimum.at(low, back, ids)
@@ -371,27 +404,30 @@ def marked(docs: DataFrame, least: DataFrame) -> DataFrame:
     """Each document with its removed spans and what is left."""
 
     def each(table, got):
-        rows = got.to_pylist()
+        whole, rows = told(got.to_pylist())
         ids, raw = table.column("doc_id").to_pylist(), table.column("b").to_pylist()
         spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         if rows and len(ids):
             anchors, keys, runs, run_ids = (_blobs(rows, x, k) for x, k in (("anchors", "<u8"), ("keys", "<u8"), ("runs", "u1"), ("run_ids", "<i8")))
             known = np.unique(anchors)
             order = np.argsort(keys)
+            ordered = keys[order]
             flat = np.repeat(run_ids, runs)
             count = _blobs(rows, "windows", "u1").astype(np.int64)
             starts = np.cumsum(count) - count
-            for some, text, ends in chunks(ids, raw):
+            for some, text, ends in chunks(ids, raw, whole):
                 first, last, h, doc = windows(text, ends)
-                use = np.isin(h | TWO, known)
+                use = member(known, h | TWO)
                 first, last, h, doc = first[use], last[use], h[use] | TWO, doc[use]
                 if not len(first):
                     continue
-                at = order[np.searchsorted(keys[order], piece_keys(h, text, first, last))]
+                at = order[np.searchsorted(ordered, piece_keys(h, text, first, last))]
                 spans.update(_spans(some, ends, first, last, doc, np.array([ids[k] for k in some], np.int64), flat, at, starts))
         out = []
         for k, (i, r) in enumerate(zip(ids, raw, strict=True)):
             a, b = spans.get(k, (np.zeros(0, np.int64),) * 2)
+            if i in whole and len(r) >= LENGTH:
+                a, b = np.array([0]), np.array([len(r)])
             left = b"".join(r[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(r)], strict=True)) if len(a) else r
             out.append((i, len(r), len(r) - len(left), len(a), left, a.astype("<i8").tobytes(), b.astype("<i8").tobytes()))
         return exchange.table_of(REMOVED, list(zip(*out, strict=True)))
@@ -424,7 +460,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """REMOVED rows for every row of ``docs`` (doc_id, text)."""
     common.prepare(docs.sparkSession)
     mine = exchange.grouped(docs)
-    return marked(mine, least_of_windows(mine, shared_anchors(mine)))
+    same = copies(mine)
+    shared = shared_anchors(mine, same).unionByName(same, allowMissingColumns=True)
+    least = least_of_windows(mine, shared)
+    return marked(mine, least.unionByName(same, allowMissingColumns=True))
 
 
 def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
