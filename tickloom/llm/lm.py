@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import common, exchange
 
 HOLD_MOD, HOLD_AT = 7, 2
-BITS, PROBES, MAX_BYTES, PAIR_LEAST = 10, 4, 32 << 20, 2
+BITS, PROBES, MAX_BYTES, PAIR_LEAST = 10, 4, 32 << 20, 4
 FIT_DOCS = 500
 LEVELS = 40
 CACHE = 1 << 19
@@ -80,7 +80,7 @@ def total(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 ASK = "bucket int, g int, keys binary, counts binary"
-COUNTED = "g int, bucket int, keys binary, counts binary, n long, v long"
+COUNTED = "g int, bucket int, keys binary, counts binary"
 
 
 def _packed(rows: list[dict], width: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
@@ -88,9 +88,10 @@ def _packed(rows: list[dict], width: str) -> tuple[list[np.ndarray], list[np.nda
 
 
 def count_words(docs: DataFrame) -> DataFrame:
-    """Answers with the training count of each word a group asked for; rows of g = -1 hold a
-    bucket's counted words with its sums N and V."""
+    """Answers with the training count of each word a group asked for; a bucket's whole count goes to
+    a group of its own, past those of documents."""
     n = exchange.partitions(docs)
+    beyond = exchange.GROUPS * n
 
     def ask(table):
         words = Words()
@@ -106,9 +107,9 @@ def count_words(docs: DataFrame) -> DataFrame:
         keys, counts = _packed(rows, "<u4")
         every, sums = total(np.concatenate(keys), np.concatenate(counts))
         for r, k in zip(rows, keys, strict=True):
-            yield r["g"], r["bucket"], r["keys"], sums[np.searchsorted(every, k)].astype("<u8").tobytes(), 0, 0
+            yield r["g"], r["bucket"], r["keys"], sums[np.searchsorted(every, k)].astype("<u8").tobytes()
         known = sums > 0
-        yield -1, rows[0]["bucket"], every[known].tobytes(), sums[known].astype("<u8").tobytes(), int(sums.sum()), int(known.sum())
+        yield beyond + rows[0]["bucket"], rows[0]["bucket"], every[known].tobytes(), sums[known].astype("<u8").tobytes()
 
     return exchange.per_bucket(exchange.per_group(docs, ASK, ask), COUNTED, answer)
 
@@ -117,11 +118,18 @@ SCORED = "kind int, doc_id long, h long, held boolean, n_tokens long, n_known lo
 
 
 def base_and_pairs(docs: DataFrame, answers: DataFrame) -> DataFrame:
-    """kind 0: a document's token counts and sum of log10(c + 1); kind 1: a group's counts of word pairs."""
+    """kind 0: a document's token counts and sum of log10(c + 1); kind 1: a group's counts of word
+    pairs; kind 2: a bucket's counts of words, passed on, with n_tokens = N and n_known = V."""
     n = exchange.partitions(docs)
 
     def each(table, got):
         rows = got.to_pylist()
+        if not table.num_rows:
+            out = []
+            for r in rows:
+                counts = np.frombuffer(r["counts"], "<u8")
+                out.append((2, None, None, None, int(counts.sum()), len(counts), None, r["bucket"], r["g"], r["keys"], r["counts"]))
+            return exchange.table_of(SCORED, list(zip(*out, strict=True)))
         keys, counts = _packed(rows, "<u8")
         keys, counts = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
         order = np.argsort(keys)
@@ -137,12 +145,12 @@ def base_and_pairs(docs: DataFrame, answers: DataFrame) -> DataFrame:
                 before = np.concatenate([[True], often[:-1]])
                 pairs.append(pair_keys(words.table[x])[often & before])
         pair, times = np.unique(np.concatenate(pairs), return_counts=True)
-        g = table.column("g")[0].as_py() if table.num_rows else None
+        g = table.column("g")[0].as_py()
         out = [(0, d, t, h, len(x), int((exact[x] > 0).sum()), float(logs[x].sum()), None, None, None, None) for d, t, h, x in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), held, some, strict=True)]
         out += [(1, None, None, None, None, None, None, k, g, pair[at].tobytes(), times[at].astype("<u4").tobytes()) for k, at in exchange.split(pair, n)]
         return exchange.table_of(SCORED, list(zip(*out, strict=True)))
 
-    return exchange.per_group_with(docs, answers.where("g >= 0"), SCORED, each)
+    return exchange.per_group_with(docs, answers, SCORED, each)
 
 
 KEPT = "order int, bucket int, keys binary, levels binary, level int, ngrams long, mass long"
@@ -155,7 +163,7 @@ def _kept(order: int, bucket: int, keys: np.ndarray, counts: np.ndarray):
         yield order, bucket, None, None, int(level), int((q == level).sum()), int(counts[q == level].sum())
 
 
-def counted(answers: DataFrame, pairs: DataFrame) -> DataFrame:
+def counted(base: DataFrame) -> DataFrame:
     """Each bucket's n-grams with levels, and how many n-grams each level has."""
 
     def words(rows: list[dict]):
@@ -168,8 +176,8 @@ def counted(answers: DataFrame, pairs: DataFrame) -> DataFrame:
         often = sums >= PAIR_LEAST
         yield from _kept(2, rows[0]["bucket"], every[often], sums[often])
 
-    ones = exchange.per_bucket(answers.where("g = -1").select("bucket", "keys", "counts"), KEPT, words)
-    twos = exchange.per_bucket(pairs.where("kind = 1").select("bucket", "keys", "counts"), KEPT, both)
+    ones = exchange.per_bucket(base.where("kind = 2").select("bucket", "keys", "counts"), KEPT, words)
+    twos = exchange.per_bucket(base.where("kind = 1").select("bucket", "keys", "counts"), KEPT, both)
     return common.stored(ones.unionByName(twos), "ngrams")
 
 
@@ -332,10 +340,9 @@ def train(docs: DataFrame, held) -> tuple[Filter, DataFrame, int, int]:
     """The filter, the documents' base sums, N and V."""
     common.prepare(docs.sparkSession)
     mine = exchange.grouped(docs, held.alias("held"), F.xxhash64("text").alias("h"))
-    answers = common.stored(count_words(mine), "words")
-    n, v = answers.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    base = common.stored(base_and_pairs(mine, answers), "pairs")
-    kept = counted(answers, base)
+    base = common.stored(base_and_pairs(mine, count_words(mine)), "counts")
+    n, v = base.where("kind = 2").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
+    kept = counted(base)
     model = build(kept, exchange.partitions(docs), n, v)
     some = docs.where(~held).select("doc_id", common.body(F.col("text")).alias("b")).orderBy(F.xxhash64("doc_id"), "doc_id", "b").limit(FIT_DOCS)
     set_weights(model, [bytes(r["b"]) for r in some.collect()])
