@@ -27,11 +27,16 @@ def partitions(df: DataFrame) -> int:
     return max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
 
+def dealt(docs: DataFrame, *more) -> DataFrame:
+    """(g, doc_id, b, more of these): each row's group."""
+    g = F.pmod(F.xxhash64("doc_id", "text"), F.lit(GROUPS * partitions(docs))).cast("int")
+    return docs.select(g.alias("g"), F.col("doc_id").cast("long").alias("doc_id"), common.body(F.col("text")).alias("b"), *more)
+
+
 def grouped(docs: DataFrame, *more) -> DataFrame:
-    """(g, doc_id, b, more...), dealt by g."""
+    """(g, doc_id, b, more...), moved to partitions by g."""
     n = partitions(docs)
-    b = common.body(F.col("text"))
-    return docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(GROUPS * n)).cast("int").alias("g"), F.col("doc_id").cast("long").alias("doc_id"), b.alias("b"), *more).repartition(n, "g")
+    return dealt(docs, *more).repartition(n, "g")
 
 
 KINDS = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "string": pa.string(), "boolean": pa.bool_(), "binary": pa.binary()}

@@ -245,7 +245,7 @@ def in_slabs(anchors: np.ndarray, pieces: list[bytes], ids: np.ndarray) -> list[
 
 def copies(docs: DataFrame) -> DataFrame:
     """(g, copies): ids, packed, of a group's documents whose whole text a smaller id has too."""
-    mine = docs.where("doc_id is not null").select("g", "doc_id", F.unhex(F.md5("b")).alias("h"))
+    mine = exchange.dealt(docs).withColumn("h", F.unhex(F.md5("b"))).where("doc_id is not null").select("g", "doc_id", "h")  # ids and hashes move, texts do not
     first = mine.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select(F.col("h").alias("t"), "least")
     later = mine.join(first, F.col("h") == F.col("t")).where("doc_id > least")
     return later.groupBy("g").agg(F.collect_list("doc_id").alias("copies")).select((F.col("g") + 0).alias("g"), "copies")
@@ -460,7 +460,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """REMOVED rows for every row of ``docs`` (doc_id, text)."""
     common.prepare(docs.sparkSession)
     mine = exchange.grouped(docs)
-    same = copies(mine)
+    same = copies(docs)
     shared = shared_anchors(mine, same).unionByName(same, allowMissingColumns=True)
     least = least_of_windows(mine, shared)
     return marked(mine, least.unionByName(same, allowMissingColumns=True))
