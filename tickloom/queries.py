@@ -52,7 +52,7 @@ for _h, _n in ((4, "4h"), (12, "12h"), (24, "1d")):
 simple("bars_empty_bins", lambda s, d: rounded(bars.right_closed(hourly(s, d, True), 1, True)), f"SELECT {OUT} FROM ({bars.right_closed_sql(TYPES, 1, True)})")
 
 for _f in snapshot.FAMILIES:
-    planned(_f.__name__, _f, lambda s, d: hourly(s, d), ALL, 5 if _f is snapshot.volume_flow else 6)
+    planned(_f.__name__, _f, lambda s, d: hourly(s, d), ALL, 8 if _f is snapshot.volume_flow else 6)
 planned("rsi_adx_by_type", snapshot.rsi_adx, lambda s, d: hourly(s, d, True), TYPES)
 planned("oscillators_4h", snapshot.oscillators, lambda s, d: bars.right_closed(hourly(s, d), 4), bars.right_closed_sql(ALL, 4))
 for _f in derived.FAMILIES:
