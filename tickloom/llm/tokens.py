@@ -103,6 +103,7 @@ def _tokenizer(path: str):
     return _STATE["tokenizer"]
 
 
+MARKS = ",.!?;:&#%*$|"
 _GAPS = re.compile(r"\s\s")
 
 
@@ -121,10 +122,15 @@ def token_bytes(path: str, texts: list[str]) -> list[bytes]:
         pieces[""] = b""
     cut = [None if _GAPS.search(t) or "<|" in t else [t[: t.find(" ")] if " " in t else t, *(" " + x for x in t.split(" ")[1:])] for t in texts]
     new = list({p for c in cut if c for p in c if p not in pieces})
-    for at in range(0, len(new), 4096):
-        part = new[at : at + 4096]
-        for p, e in zip(part, tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
+    # Marks after a letter or digit start a token of their own, so "word" serves "word," and "word." as well.
+    ends = [p.rstrip(MARKS) for p in new]
+    ends = [c if c and c[-1].isalnum() else p for p, c in zip(new, ends, strict=True)]
+    parts = list({x for p, c in zip(new, ends, strict=True) for x in (c, p[len(c) :]) if x not in pieces})
+    for at in range(0, len(parts), 4096):
+        part = parts[at : at + 4096]
+        for p, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
             pieces[p] = np.array(e.ids, "<u4").tobytes()
+    pieces.update((p, pieces[c] + pieces[p[len(c) :]]) for p, c in zip(new, ends, strict=True))
     whole = [t for t, c in zip(texts, cut, strict=True) if c is None]
     rest = iter(tokenizer.encode_batch(whole, add_special_tokens=False) if whole else [])
     return [np.array(next(rest).ids, "<u4").tobytes() if c is None else b"".join(map(pieces.__getitem__, c)) for c in cut]
