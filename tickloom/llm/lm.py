@@ -146,39 +146,44 @@ def base_and_pairs(docs: DataFrame, answers: DataFrame) -> DataFrame:
                 pairs.append(pair_keys(words.table[x])[often & before])
         pair, times = np.unique(np.concatenate(pairs), return_counts=True)
         g = table.column("g")[0].as_py()
-        out = [(0, d, t, h, len(x), int((exact[x] > 0).sum()), float(logs[x].sum()), None, None, None, None) for d, t, h, x in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), held, some, strict=True)]
+        out = [(0, d, t, h, len(x), int((exact[x] > 0).sum()), float(logs[x].sum()), t % n, None, None, None) for d, t, h, x in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), held, some, strict=True)]
         out += [(1, None, None, None, None, None, None, k, g, pair[at].tobytes(), times[at].astype("<u4").tobytes()) for k, at in exchange.split(pair, n)]
         return exchange.table_of(SCORED, list(zip(*out, strict=True)))
 
     return exchange.per_group_with(docs, answers, SCORED, each)
 
 
-KEPT = "order int, bucket int, keys binary, levels binary, level int, ngrams long, mass long"
+KEPT = "kind int, doc_id long, h long, held boolean, n_tokens long, n_known long, logs double, order int, bucket int, keys binary, levels binary, level int, ngrams long, mass long"
 
 
 def _kept(order: int, bucket: int, keys: np.ndarray, counts: np.ndarray):
+    """Rows of a bucket's n-grams with their levels, and of how many n-grams each level has."""
     q = levels(counts)
-    yield order, bucket, keys.tobytes(), q.astype(np.uint8).tobytes(), None, None, None
+    yield (1, *[None] * 6, order, bucket, keys.tobytes(), q.astype(np.uint8).tobytes(), None, None, None)
     for level in np.unique(q):
-        yield order, bucket, None, None, int(level), int((q == level).sum()), int(counts[q == level].sum())
+        yield (1, *[None] * 6, order, bucket, None, None, int(level), int((q == level).sum()), int(counts[q == level].sum()))
 
 
 def counted(base: DataFrame) -> DataFrame:
-    """Each bucket's n-grams with levels, and how many n-grams each level has."""
+    """kind 0: documents, as they came; kind 1: each bucket's n-grams; kind 2: its sums N and V."""
 
-    def words(rows: list[dict]):
+    def each(rows):
+        pairs = []
         for r in rows:
-            yield from _kept(1, r["bucket"], np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], "<u8").astype(np.int64))
-
-    def both(rows: list[dict]):
-        keys, counts = _packed(rows, "<u4")
-        every, sums = total(np.concatenate(keys), np.concatenate(counts))
-        often = sums >= PAIR_LEAST
-        yield from _kept(2, rows[0]["bucket"], every[often], sums[often])
-
-    ones = exchange.per_bucket(base.where("kind = 2").select("bucket", "keys", "counts"), KEPT, words)
-    twos = exchange.per_bucket(base.where("kind = 1").select("bucket", "keys", "counts"), KEPT, both)
-    return common.stored(ones.unionByName(twos), "ngrams")
+            if r["kind"] == 0:
+                yield (0, *(r[c] for c in ("doc_id", "h", "held", "n_tokens", "n_known", "logs")), *[None] * 7)
+            elif r["kind"] == 1:
+                pairs.append(r)
+            else:
+                yield (2, None, None, None, r["n_tokens"], r["n_known"], *[None] * 8)
+                yield from _kept(1, r["bucket"], np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], "<u8").astype(np.int64))
+        if pairs:
+            keys, counts = _packed(pairs, "<u4")
+            every, sums = total(np.concatenate(keys), np.concatenate(counts))
+            often = sums >= PAIR_LEAST
+            yield from _kept(2, pairs[0]["bucket"], every[often], sums[often])
+
+    return exchange.per_bucket(base, KEPT, each)
 
 
 def places(keys: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
@@ -340,10 +345,9 @@ def train(docs: DataFrame, held) -> tuple[Filter, DataFrame, int, int]:
     """The filter, the documents' base sums, N and V."""
     common.prepare(docs.sparkSession)
     mine = exchange.grouped(docs, held.alias("held"), F.xxhash64("text").alias("h"))
-    base = common.stored(base_and_pairs(mine, count_words(mine)), "counts")
+    base = common.stored(counted(base_and_pairs(mine, count_words(mine))), "counts")
     n, v = base.where("kind = 2").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
-    kept = counted(base)
-    model = build(kept, exchange.partitions(docs), n, v)
+    model = build(base.where("kind = 1"), exchange.partitions(docs), n, v)
     some = docs.where(~held).select("doc_id", common.body(F.col("text")).alias("b")).orderBy(F.xxhash64("doc_id"), "doc_id", "b").limit(FIT_DOCS)
     set_weights(model, [bytes(r["b"]) for r in some.collect()])
     return model, base.where("kind = 0"), n, v
