@@ -32,7 +32,7 @@ BLOCK, PERCENTILE, END_ID = 1024, 95, 2
 #: Ids after which a chunk (one file) is closed.
 CHUNK_IDS = 1 << 18
 #: Pieces remembered by a worker before it starts anew.
-PIECES = 1 << 19
+PIECES = 3 << 18
 _STATE: dict = {}
 HEAD = np.dtype([("low", "<u4"), ("n", "<u2"), ("width", "u1"), ("z", "u1"), ("extra", "<u2"), ("z2", "<u2")])
 
