@@ -2,7 +2,7 @@
 
 The patterns give the base spans. The method adds spans: every run of 16 or
 more token characters that no base span touches is scored by two character
-Markov chains (order two, add-one smoothing), one trained on random strings,
+Markov chains (order two, backing off to shorter contexts), one trained on random strings,
 one on ordinary identifiers; a run whose log-likelihood ratio for a character
 is over ``THRESHOLD`` is a span of kind ``markov``.
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import common
 
 SAMPLE_DOCS = 2000
-THRESHOLD = 0.35
+THRESHOLD = 0.5
 
 #: Fixed patterns and least lengths of the contract, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -67,8 +67,9 @@ def chain(samples: list[str]) -> np.ndarray:
         c = np.concatenate([[SIZE - 1, SIZE - 1], codes(s)])
         np.add.at(counts, (c[:-2] * SIZE + c[1:-1]) * SIZE + c[2:], 1)
     counts = counts.reshape(SIZE, SIZE, SIZE)
-    pair = counts.sum(0)  # backs off to one character where two are rare
-    p = (pair + 1) / (pair + 1).sum(-1, keepdims=True)
+    pair = counts.sum(0)  # backs off to one character before, then to none, where contexts are rare
+    single = (pair.sum(0) + 0.5) / (pair.sum() + 0.5 * SIZE)
+    p = (pair + 5 * single) / (pair.sum(-1, keepdims=True) + 5)
     return np.log((counts + 20 * p[None]) / (counts.sum(-1, keepdims=True) + 20)).ravel()
 
 
