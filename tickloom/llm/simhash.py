@@ -268,15 +268,18 @@ def alike_forest(s: np.ndarray) -> list[tuple[int, int]]:
     """Tree edges of the texts of one place, linked where sketches agree in ALIKE of the bins in use."""
     left, edges = np.arange(1, len(s)), []
     todo = [0]
+    full = np.packbits(s > 0, axis=1).view(np.uint64)  # bins in use, a bit each
     while todo or len(left):
         if not todo:
             todo, left = [int(left[0])], left[1:]
         x = todo.pop()
         found = []
         for at in range(0, len(left), 4096):
-            other = s[left[at : at + 4096]]
-            used = ((other > 0) | (s[x] > 0)).sum(1)
-            same = ((other == s[x]) & (other > 0)).sum(1)
+            some = left[at : at + 4096]
+            used = np.bitwise_count(full[some] | full[x]).sum(1, dtype=np.int64)
+            # Equal bins, counted eight columns at a time: a byte holds at most BINS / 8 ones.
+            equal = (s[some] == s[x]).view(np.uint64).sum(1).view(np.uint8).reshape(-1, 8).sum(1, dtype=np.int64)
+            same = equal - (BINS - used)  # bins that both leave empty are equal, but not alike
             found.append(same >= ALIKE * used)
         near = np.concatenate(found) if found else np.zeros(0, bool)
         edges += [(x, int(y)) for y in left[near]]
