@@ -19,6 +19,7 @@ neighbours in one part; null ids come first. Empty tables give no files.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -99,7 +100,7 @@ def _tokenizer(path: str):
         from tokenizers import Tokenizer
 
         _STATE.clear()
-        _STATE.update(path=path, tokenizer=Tokenizer.from_file(path), pieces={"": b""})
+        _STATE.update(path=path, tokenizer=Tokenizer.from_file(path), pieces={}, old={})
     return _STATE["tokenizer"]
 
 
@@ -107,33 +108,57 @@ MARKS = ",.!?;:&#%*$|"
 _GAPS = re.compile(r"\s\s")
 
 
+def _pieces_of(key: str) -> list[str]:
+    """The keys of what a word consists of: its lines, line ends, and marks after a letter or digit."""
+    found, first = [], True
+    for line in (key[1:] if key[:1] == "\n" else key).split("\n"):
+        if not first:
+            found.append("\n\n")
+        core = line.rstrip(MARKS)
+        if not core or not core[-1].isalnum():
+            core = line
+        found.append(core if first and key[:1] != "\n" else "\n" + core)
+        if len(core) < len(line):
+            found.append("\n" + line[len(core) :])
+        first = False
+    return found
+
+
 def token_bytes(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as uint32 bytes.
 
     A byte-level vocabulary never joins characters across the border before a
-    single space, so texts are cut there and each different piece goes through
-    the tokenizer once. Texts with neighbouring white space, or with what may be
-    a special token, are encoded whole instead.
+    single space, around a single line end, or between a letter and marks, so texts are cut
+    there and each different piece goes through the tokenizer once. Texts with neighbouring
+    white space, or with what may be a special token, are encoded whole instead.
+
+    Pieces are remembered by the word, which stands for itself after a space; those without a
+    space before them have a line end before the word as their key. A full memory becomes the old one, from
+    which words still in use come back.
     """
     tokenizer = _tokenizer(path)
-    pieces: dict[str, bytes] = _STATE["pieces"]
-    if len(pieces) > PIECES:
-        pieces.clear()
-        pieces[""] = b""
-    cut = [None if _GAPS.search(t) or "<|" in t else [t[: t.find(" ")] if " " in t else t, *(" " + x for x in t.split(" ")[1:])] for t in texts]
-    new = list({p for c in cut if c for p in c if p not in pieces})
-    # Marks after a letter or digit start a token of their own, so "word" serves "word," and "word." as well.
-    ends = [p.rstrip(MARKS) for p in new]
-    ends = [c if c and c[-1].isalnum() else p for p, c in zip(new, ends, strict=True)]
-    parts = list({x for p, c in zip(new, ends, strict=True) for x in (c, p[len(c) :]) if x not in pieces})
+    if len(_STATE["pieces"]) > PIECES // 2:
+        _STATE["old"], _STATE["pieces"] = _STATE["pieces"], {}
+    pieces, old = _STATE["pieces"], _STATE["old"]
+    cut = [None if _GAPS.search(t) or "<|" in t else t.split(" ") for t in texts]
+    for words in cut:
+        if words:
+            words[0] = "\n" + words[0]
+    new = set().union(*filter(None, cut)).difference(pieces)
+    pieces.update((w, old[w]) for w in new if w in old)
+    new.difference_update(pieces)
+    made = {w: _pieces_of(w) for w in new if not w[-1:].isalnum() or "\n" in w}
+    parts = new.difference(made).union(*made.values()).difference(pieces)
+    pieces.update((x, old[x]) for x in parts if x in old)
+    parts = [x for x in parts if x not in old]
     for at in range(0, len(parts), 4096):
-        part = parts[at : at + 4096]
-        for p, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            pieces[p] = np.array(e.ids, "<u4").tobytes()
-    pieces.update((p, pieces[c] + pieces[p[len(c) :]]) for p, c in zip(new, ends, strict=True))
+        some = parts[at : at + 4096]
+        found = tokenizer.encode_batch_fast([x[1:] if x[:1] == "\n" else " " + x for x in some], add_special_tokens=False)
+        pieces.update((x, array("I", e.ids).tobytes()) for x, e in zip(some, found, strict=True))
+    pieces.update((w, b"".join(map(pieces.__getitem__, xs))) for w, xs in made.items() if w not in pieces)
     whole = [t for t, c in zip(texts, cut, strict=True) if c is None]
     rest = iter(tokenizer.encode_batch(whole, add_special_tokens=False) if whole else [])
-    return [np.array(next(rest).ids, "<u4").tobytes() if c is None else b"".join(map(pieces.__getitem__, c)) for c in cut]
+    return [array("I", next(rest).ids).tobytes() if c is None else b"".join(map(pieces.__getitem__, c)) for c in cut]
 
 
 FILES = "part int, chunk int, start long, n_ids long, doc_ids array<long>, lengths array<int>, file binary"
@@ -161,8 +186,8 @@ def write_ids(docs: DataFrame, path: str, parts: int | None = None) -> DataFrame
         for batch in batches:
             if batch.num_rows:
                 part = batch.column(2)[0].as_py()
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 1024):
+                some = batch.slice(at, 1024)
                 texts = [t or "" for t in some.column(1).to_pylist()]
                 for key, ids in zip(some.column(0).to_pylist(), token_bytes(path, texts), strict=True):
                     keys.append(key)
