@@ -282,3 +282,14 @@ def test_empty_tables_and_pipeline(spark, folder, empty):
     ids = {i for i, _ in docs(spark, folder)}
     assert kept and set(kept) <= ids and 3 not in kept and 100 not in kept  # contaminated; a copy
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_token_bytes_equals_the_tokenizer(monkeypatch):
+    monkeypatch.setattr(tokens, "PIECES", 400)
+    rng, path = random.Random(4), tokens.vocabulary()
+    some = ["a", "Z", "é", "ß", " ", "\n", "\t", ",", ".", "'", "'ll", "9", "²", "<|", "<|endoftext|>", " ", "́", "日", "%", "$", "(", "\x1c", "\r"]
+    every = ["".join(rng.choice(some) for _ in range(rng.randint(0, 14))) for _ in range(4000)] + ["", "\n", " ", "a\n", "\na", "a ", " a"]
+    tokenizer = tokens._tokenizer(path)
+    for at in range(0, len(every), 256):
+        for t, got in zip(every[at : at + 256], tokens.token_bytes(path, every[at : at + 256]), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(t, add_special_tokens=False).ids
