@@ -105,6 +105,38 @@ def test_lm_base_counts(spark, folder):
     assert got == want
 
 
+def lm_scores(rows):
+    """(id, tokens, score) by exact counts of all words and all pairs, weights fitted on all training texts."""
+    texts = [(i, i is not None and zlib.crc32(str(i).encode()) % 7 == 2, [b"", *(t or "").encode().lower().split(), b""]) for i, t in rows]
+    count = [Counter(x for _, held, ws in texts if not held for x in xs(ws)) for xs in (lambda ws: ws[1:], lambda ws: zip(ws, ws[1:]))]
+    mean = [{q: np.mean([c for c in got.values() if c.bit_length() == q]) for q in {c.bit_length() for c in got.values()}} | {0: 0.0} for got in count]
+    n, v = sum(count[0].values()), len(count[0])
+
+    def cells(ws, less):
+        for h, w in zip(ws, ws[1:]):
+            a, b, both = (count[0][h].bit_length(), count[0][w].bit_length(), count[1][h, w].bit_length())
+            yield a, min(1.0, max(mean[1][both] - less, 0) / max(mean[0][a] - less, 1)), (max(mean[0][b] - less, 0) + 1) / (n + v + 1)
+
+    fit = [x for _, held, ws in texts if not held for x in cells(ws, 1)]
+    k = dict.fromkeys({a for a, *_ in fit}, 0.5)
+    for _ in range(20):
+        k = {q: min(0.999, float(np.mean([k[q] * y / (k[q] * y + (1 - k[q]) * s) for a, y, s in fit if a == q]))) for q in k}
+    return [(i, len(ws) - 1, sum(np.log10((z := k.get(a, 0.0) * (a > 0)) * y + (1 - z) * s) for a, y, s in cells(ws, 0))) for i, _, ws in texts]
+
+
+def lm_error(spark, folder):
+    """Mean difference a token of the operator's scores from those of exact counts."""
+    sort = lambda rows: sorted(rows, key=lambda r: (r[0] is None, r[0], r[1], r[2]))
+    got = sort([(r["doc_id"], r["n_tokens"], r["score"]) for r in lm.op3_lm(spark, folder).collect()])
+    want = sort(lm_scores(docs(spark, folder)))
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    return sum(abs(a[2] - b[2]) for a, b in zip(got, want, strict=True)) / sum(r[1] for r in want)
+
+
+def test_lm_scores_with_all_pairs(spark, folder):
+    assert lm_error(spark, folder) < 0.02
+
+
 def test_lm_filter_gives_levels_back():
     rng = np.random.default_rng(3)
     keys, q = rng.integers(0, 2**63, 500, dtype=np.uint64), rng.integers(1, 12, 500)

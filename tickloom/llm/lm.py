@@ -12,9 +12,8 @@ level of h; expectation maximisation sets it on the ``FIT_DOCS`` training texts
 hashed id, each token's own occurrence left out of the counts (deleted interpolation). The filter
 has ``BITS`` bits for each insertion; it is split into segments, each built by the one task
 that counted its n-grams, and broadcast. Its size has a bound, MAX_BYTES:
-n-grams under a least count stay out, the smallest power of two at which all the rest fit,
-and at least ``PAIR_LEAST`` for pairs, so that pairs of which either word is rarer need not
-be counted at all. Probes for absent n-grams err with about 1 in 100.
+n-grams under a least count stay out, the smallest power of two at which all the rest fit.
+Probes for absent n-grams err with about 1 in 100.
 
 ``base_score`` is exact: a group's words get their exact counts from the
 buckets that count them, see exchange.py. Null and empty texts hold the end token alone. Rows
@@ -32,7 +31,7 @@ from pyspark.sql import functions as F
 from tickloom.llm import common, exchange
 
 HOLD_MOD, HOLD_AT = 7, 2
-BITS, PROBES, MAX_BYTES, PAIR_LEAST = 10, 4, 32 << 20, 4
+BITS, PROBES, MAX_BYTES = 10, 4, 32 << 20
 FIT_DOCS = 500
 LEVELS = 40
 CACHE = 1 << 19
@@ -141,9 +140,7 @@ def base_and_pairs(docs: DataFrame, answers: DataFrame) -> DataFrame:
         pairs = [np.zeros(0, np.uint64)]
         for x, h in zip(some, held, strict=True):
             if not h:
-                often = exact[x] >= PAIR_LEAST
-                before = np.concatenate([[True], often[:-1]])
-                pairs.append(pair_keys(words.table[x])[often & before])
+                pairs.append(pair_keys(words.table[x]))
         pair, times = np.unique(np.concatenate(pairs), return_counts=True)
         g = table.column("g")[0].as_py()
         out = [(0, d, t, h, len(x), int((exact[x] > 0).sum()), float(logs[x].sum()), t % n, None, None, None) for d, t, h, x in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), held, some, strict=True)]
@@ -180,8 +177,7 @@ def counted(base: DataFrame) -> DataFrame:
         if pairs:
             keys, counts = _packed(pairs, "<u4")
             every, sums = total(np.concatenate(keys), np.concatenate(counts))
-            often = sums >= PAIR_LEAST
-            yield from _kept(2, pairs[0]["bucket"], every[often], sums[often])
+            yield from _kept(2, pairs[0]["bucket"], every, sums)
 
     return exchange.per_bucket(base, KEPT, each)
 
