@@ -137,6 +137,11 @@ def test_lm_scores_with_all_pairs(spark, folder):
     assert lm_error(spark, folder) < 0.02
 
 
+def test_lm_keeps_ngrams_beyond_any_bound(spark, folder, monkeypatch):
+    monkeypatch.setattr(lm, "least_count_level", lambda *_: 3)  # as in a corpus far over the bound
+    assert lm_error(spark, folder) < 0.02
+
+
 def test_lm_filter_gives_levels_back():
     rng = np.random.default_rng(3)
     keys, q = rng.integers(0, 2**63, 500, dtype=np.uint64), rng.integers(1, 12, 500)

@@ -2,22 +2,22 @@
 
 Counts of words and word pairs over all training texts are quantised to levels
 1 + floor(log2 c); an n-gram of level q is put into the filter q times, as
-(n-gram, 1) .. (n-gram, q). A worker reads a level back by repeated probes: level 1, 2, ...
+(n-gram, 1) .. (n-gram, q). A level is read back by repeated probes: level 1, 2, ...
 until one fails. A level stands for the mean count of its n-grams. With those,
 
     P(w | h) = k min(1, c(h w) / c(h)) + (1 - k) (c(w) + 1) / (N + V + 1)
 
 smooths pairs with single words, and unseen words share the rest. The weight k belongs to the
-level of h; expectation maximisation sets it on the ``FIT_DOCS`` training texts of least
-hashed id, each token's own occurrence left out of the counts (deleted interpolation). The filter
-has ``BITS`` bits for each insertion; it is split into segments, each built by the one task
-that counted its n-grams, and broadcast. Its size has a bound, MAX_BYTES:
-n-grams under a least count stay out, the smallest power of two at which all the rest fit.
-Probes for absent n-grams err with about 1 in 100.
-
-``base_score`` is exact: a group's words get their exact counts from the
-buckets that count them, see exchange.py. Null and empty texts hold the end token alone. Rows
-with a null id train the model. With an empty training part every word is unseen.
+level of h; expectation maximisation sets it on all training texts, each token's own
+occurrence left out of the counts (deleted interpolation): a token counts by its three levels alone, so
+the tokens of each such cell are added up in the tasks. The filter has ``BITS`` bits for each insertion and
+holds every n-gram, whatever its count; it is split into segments by key, each built and probed by the one
+task that counted its n-grams, so that no task holds it whole. Probes for absent n-grams
+err with about 1 in 100.
+
+Texts move once, to groups that ask about their different words and pairs, see exchange.py.
+``base_score`` is exact: words' answers bring exact counts. Null and empty texts hold the end token
+alone. Rows with a null id train the model. With an empty training part every word is unseen.
 """
 
 from __future__ import annotations
@@ -32,9 +32,7 @@ from tickloom.llm import common, exchange
 
 HOLD_MOD, HOLD_AT = 7, 2
 BITS, PROBES, MAX_BYTES = 10, 4, 32 << 20
-FIT_DOCS = 500
 LEVELS = 40
-CACHE = 1 << 19
 
 
 class Words:
@@ -78,108 +76,126 @@ def total(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(counts, np.flatnonzero(first))
 
 
-ASK = "bucket int, g int, keys binary, counts binary"
-COUNTED = "g int, bucket int, keys binary, counts binary"
+#: Bits of a pair's key: among a thousand million pairs, 4 in a million share theirs.
+PAIR_BITS = 48
+ASK = "bucket int, g int, ngram int, keys binary, counts binary"
+ANSWER = "g int, bucket int, ngram int, counts binary, levels binary, level int, ngrams long, mass long"
 
 
-def _packed(rows: list[dict], width: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    return [np.frombuffer(r["keys"], "<u8") for r in rows], [np.frombuffer(r["counts"], width).astype(np.int64) for r in rows]
+def packed(keys: np.ndarray) -> bytes:
+    """Ascending keys as differences, their first bytes first, then their second bytes: the upper ones
+    are zero, which the shuffle's compression folds."""
+    gaps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
+    return np.ascontiguousarray(gaps.view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """Answers with the training count of each word a group asked for; a bucket's whole count goes to
-    a group of its own, past those of documents."""
+def unpacked(raw: bytes) -> np.ndarray:
+    gaps = np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(8, -1).T).view("<u8")[:, 0]
+    return np.cumsum(gaps, dtype=np.uint64)
+
+
+def split_pairs(pairs: np.ndarray, n: int):
+    """(bucket, places of its pairs) for ascending pairs; a pair's key in its bucket is pair // n."""
+    bucket = (pairs % np.uint64(n)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    edges = np.searchsorted(bucket[order], np.arange(n + 1))
+    for k in range(n):
+        if edges[k] < edges[k + 1]:
+            yield k, order[edges[k] : edges[k + 1]]
+
+
+def pairs_of(some: list[np.ndarray], table: np.ndarray) -> np.ndarray:
+    """Keys of all texts' pairs, one after another."""
+    return np.concatenate([pair_keys(table[x]) for x in some]) >> np.uint64(64 - PAIR_BITS)
+
+
+def ask(docs: DataFrame) -> DataFrame:
+    """Each group's different words and pairs with their counts in its training texts, to their buckets."""
     n = exchange.partitions(docs)
-    beyond = exchange.GROUPS * n
 
-    def ask(table):
+    def each(table):
         words = Words()
-        raw, held = table.column("b").to_pylist(), table.column("held").to_pylist()
+        raw, held = table.column("b").to_pylist(), np.array(table.column("held").to_pylist(), bool)
         some = words.numbers(raw)
-        trains = np.concatenate([np.zeros(0, np.int64), *(x for x, h in zip(some, held, strict=True) if not h)])
-        counts = np.bincount(trains, minlength=len(words.table))
+        out = np.repeat(held, [len(x) for x in some])
+        counts = np.bincount(np.concatenate(some)[~out], minlength=len(words.table))
+        marked = np.sort(pairs_of(some, words.table) << np.uint64(1) | out.astype(np.uint64))
+        pairs = marked >> np.uint64(1)
+        first = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
+        pairs, times = pairs[first], np.add.reduceat(1 - (marked & np.uint64(1)).astype(np.int64), first)
         g = table.column("g")[0].as_py()
-        rows = [(k, g, words.table[at].tobytes(), counts[at].astype("<u4").tobytes()) for k, at in exchange.split(words.table, n)]
+        rows = [(k, g, 1, packed(words.table[at]), counts[at].astype("<u4").tobytes()) for k, at in exchange.split(words.table, n)]
+        rows += [(k, g, 2, packed(pairs[at] // np.uint64(n)), times[at].astype("<u4").tobytes()) for k, at in split_pairs(pairs, n)]
         return exchange.table_of(ASK, list(zip(*rows, strict=True)))
 
-    def answer(rows: list[dict]):
-        keys, counts = _packed(rows, "<u4")
-        every, sums = total(np.concatenate(keys), np.concatenate(counts))
-        for r, k in zip(rows, keys, strict=True):
-            yield r["g"], r["bucket"], r["keys"], sums[np.searchsorted(every, k)].astype("<u8").tobytes()
-        known = sums > 0
-        yield beyond + rows[0]["bucket"], rows[0]["bucket"], every[known].tobytes(), sums[known].astype("<u8").tobytes()
+    return exchange.per_group(docs, ASK, each)
+
+
+def answers(asked: DataFrame) -> DataFrame:
+    """A bucket counts its n-grams, fills its segment of the filter with all of them, and answers each group in
+    the order of its keys: words' exact counts, and levels read from the segment. How many n-grams each level has goes to
+    a group of its own, past those of documents."""
+    beyond = exchange.GROUPS * exchange.partitions(asked)
+
+    def each(rows: list[dict]):
+        for order in (1, 2):
+            mine = [r for r in rows if r["ngram"] == order]
+            if not mine:
+                continue
+            keys = [unpacked(r["keys"]) for r in mine]
+            every, sums = total(np.concatenate(keys), np.concatenate([np.frombuffer(r["counts"], "<u4").astype(np.int64) for r in mine]))
+            known = sums > 0
+            q = levels(sums[known])
+            read = Filter({(order, 0): segment(every[known], q)}, 1, {}, 0, 0).level(every, order).astype(np.uint8) if known.any() else np.zeros(len(every), np.uint8)
+            for r, k in zip(mine, keys, strict=True):
+                at = np.searchsorted(every, k)
+                yield r["g"], r["bucket"], order, sums[at].astype("<u8").tobytes() if order == 1 else None, read[at].tobytes(), None, None, None
+            for level in np.unique(q):
+                yield beyond + mine[0]["bucket"], mine[0]["bucket"], order, None, None, int(level), int((q == level).sum()), int(sums[known][q == level].sum())
 
-    return exchange.per_bucket(exchange.per_group(docs, ASK, ask), COUNTED, answer)
+    return exchange.per_bucket(asked, ANSWER, each)
 
 
-SCORED = "kind int, doc_id long, h long, held boolean, n_tokens long, n_known long, logs double, bucket int, g int, keys binary, counts binary"
+READ = "doc_id long, held boolean, n_tokens long, n_known long, logs double, cells binary, times binary, ngram int, level int, ngrams long, mass long"
 
 
-def base_and_pairs(docs: DataFrame, answers: DataFrame) -> DataFrame:
-    """kind 0: a document's token counts and sum of log10(c + 1); kind 1: a group's counts of word
-    pairs; kind 2: a bucket's counts of words, passed on, with n_tokens = N and n_known = V."""
+def read(docs: DataFrame, got: DataFrame) -> DataFrame:
+    """Documents with their base sums and cells, and the levels' sizes, passed on. A cell is a token's
+    level of the word before, own level and level of the pair, a byte each."""
     n = exchange.partitions(docs)
 
     def each(table, got):
         rows = got.to_pylist()
         if not table.num_rows:
-            out = []
-            for r in rows:
-                counts = np.frombuffer(r["counts"], "<u8")
-                out.append((2, None, None, None, int(counts.sum()), len(counts), None, r["bucket"], r["g"], r["keys"], r["counts"]))
-            return exchange.table_of(SCORED, list(zip(*out, strict=True)))
-        keys, counts = _packed(rows, "<u8")
-        keys, counts = np.concatenate([np.zeros(0, np.uint64), *keys]), np.concatenate([np.zeros(0, np.int64), *counts])
-        order = np.argsort(keys)
+            out = [(*[None] * 7, r["ngram"], r["level"], r["ngrams"], r["mass"]) for r in rows]
+            return exchange.table_of(READ, list(zip(*out, strict=True)))
+        answer = {(r["ngram"], r["bucket"]): r for r in rows}
         words = Words()
         some = words.numbers(table.column("b").to_pylist())
-        exact = counts[order][np.searchsorted(keys[order], words.table)] if len(keys) else np.zeros(len(words.table), np.int64)
+        exact, own = np.zeros(len(words.table), np.int64), np.zeros(len(words.table), np.uint64)
+        for k, at in exchange.split(words.table, n):
+            exact[at] = np.frombuffer(answer[1, k]["counts"], "<u8")
+            own[at] = np.frombuffer(answer[1, k]["levels"], np.uint8)
+        pairs, where = np.unique(pairs_of(some, words.table), return_inverse=True)
+        both = np.zeros(len(pairs), np.uint64)
+        for k, at in split_pairs(pairs, n):
+            both[at] = np.frombuffer(answer[2, k]["levels"], np.uint8)
+        x, sizes = np.concatenate(some), np.array([len(s) for s in some])
+        before = np.concatenate([[0], x[:-1]])
+        before[np.cumsum(sizes) - sizes] = 0  # the end token stands before a first word
+        h, w = own[before], own[x]
+        cell = h << np.uint64(16) | w << np.uint64(8) | np.where((h > 0) & (w > 0), both[where], np.uint64(0))
+        cells, times = np.unique(np.repeat(np.arange(len(some), dtype=np.uint64), sizes) << np.uint64(24) | cell, return_counts=True)
+        edges = np.searchsorted(cells >> np.uint64(24), np.arange(len(some) + 1, dtype=np.uint64))
+        cells, times = (cells & np.uint64(0xFFFFFF)).astype("<u4"), times.astype("<u4")
         logs = np.log10(exact + 1.0)
-        held = table.column("held").to_pylist()
-        pairs = [np.zeros(0, np.uint64)]
-        for x, h in zip(some, held, strict=True):
-            if not h:
-                pairs.append(pair_keys(words.table[x]))
-        pair, times = np.unique(np.concatenate(pairs), return_counts=True)
-        g = table.column("g")[0].as_py()
-        out = [(0, d, t, h, len(x), int((exact[x] > 0).sum()), float(logs[x].sum()), t % n, None, None, None) for d, t, h, x in zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), held, some, strict=True)]
-        out += [(1, None, None, None, None, None, None, k, g, pair[at].tobytes(), times[at].astype("<u4").tobytes()) for k, at in exchange.split(pair, n)]
-        return exchange.table_of(SCORED, list(zip(*out, strict=True)))
+        out = [
+            (d, held, len(s), int((exact[s] > 0).sum()), float(logs[s].sum()), cells[i:j].tobytes(), times[i:j].tobytes(), *[None] * 4)
+            for d, held, s, i, j in zip(table.column("doc_id").to_pylist(), table.column("held").to_pylist(), some, edges[:-1], edges[1:], strict=True)
+        ]
+        return exchange.table_of(READ, list(zip(*out, strict=True)))
 
-    return exchange.per_group_with(docs, answers, SCORED, each)
-
-
-KEPT = "kind int, doc_id long, h long, held boolean, n_tokens long, n_known long, logs double, order int, bucket int, keys binary, levels binary, level int, ngrams long, mass long"
-
-
-def _kept(order: int, bucket: int, keys: np.ndarray, counts: np.ndarray):
-    """Rows of a bucket's n-grams with their levels, and of how many n-grams each level has."""
-    q = levels(counts)
-    yield (1, *[None] * 6, order, bucket, keys.tobytes(), q.astype(np.uint8).tobytes(), None, None, None)
-    for level in np.unique(q):
-        yield (1, *[None] * 6, order, bucket, None, None, int(level), int((q == level).sum()), int(counts[q == level].sum()))
-
-
-def counted(base: DataFrame) -> DataFrame:
-    """kind 0: documents, as they came; kind 1: each bucket's n-grams; kind 2: its sums N and V."""
-
-    def each(rows):
-        pairs = []
-        for r in rows:
-            if r["kind"] == 0:
-                yield (0, *(r[c] for c in ("doc_id", "h", "held", "n_tokens", "n_known", "logs")), *[None] * 7)
-            elif r["kind"] == 1:
-                pairs.append(r)
-            else:
-                yield (2, None, None, None, r["n_tokens"], r["n_known"], *[None] * 8)
-                yield from _kept(1, r["bucket"], np.frombuffer(r["keys"], "<u8"), np.frombuffer(r["counts"], "<u8").astype(np.int64))
-        if pairs:
-            keys, counts = _packed(pairs, "<u4")
-            every, sums = total(np.concatenate(keys), np.concatenate(counts))
-            yield from _kept(2, pairs[0]["bucket"], every, sums)
-
-    return exchange.per_bucket(base, KEPT, each)
+    return exchange.per_group_with(docs, got, READ, each)
 
 
 def places(keys: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
@@ -191,7 +207,7 @@ def places(keys: np.ndarray, level: np.ndarray | int, bits: int) -> np.ndarray:
 
 
 class Filter:
-    """The broadcast: one segment for each (order, bucket), and the levels' mean counts."""
+    """Segments of (order, bucket), and the levels' mean counts."""
 
     def __init__(self, segments: dict, buckets: int, means: dict, n: int, v: int):
         self.buckets, self.means, self.n, self.v = buckets, means, n, v
@@ -203,7 +219,6 @@ class Filter:
             at += len(seg)
         self.raw = np.frombuffer(b"".join(raw) + b"\0", np.uint8)
         self.live = {o: any(k == o for k, _ in segments) for o in (1, 2)}
-        self.weights = np.zeros(LEVELS + 1)  # k, by the level of h
 
     def level(self, keys: np.ndarray, order: int) -> np.ndarray:
         """Level by level, as long as all probes of a level hit."""
@@ -230,135 +245,113 @@ class Filter:
         return out
 
 
+def segment(keys: np.ndarray, q: np.ndarray) -> bytes:
+    """The bits of n-grams of levels q, as many as they need."""
+    size = max(2, -(-int(q.sum()) * BITS // 8))
+    bits = np.zeros(size * 8, np.uint8)
+    for level in range(1, int(q.max(initial=0)) + 1):
+        bits[places(keys[q >= level], level, size * 8).ravel()] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
 
 def least_count_level(hist: list[tuple[int, int, int]], max_bytes: int = MAX_BYTES) -> int:
-    """The smallest level at which the n-grams of that level or more fit the bound."""
+    """The smallest level at which the n-grams of that level or more fit a bound. The operator has no
+    bound and does not ask."""
     for least in range(1, LEVELS):
         if sum(q * n for _, q, n in hist if q >= least) * BITS <= max_bytes * 8:
             return least
     return LEVELS
 
 
-def build(kept: DataFrame, buckets: int, n: int, v: int, max_bytes: int = MAX_BYTES) -> Filter:
-    """Levels' sizes choose the least count; each bucket then fills its own segment."""
-    spark = kept.sparkSession
-    hist = [tuple(r) for r in kept.where("level is not null").groupBy("order", "level").agg(F.sum("ngrams"), F.sum("mass")).collect()]
-    least = least_count_level([(o, q, k) for o, q, k, _ in hist], max_bytes)
-    means = {o: np.zeros(LEVELS + 1) for o in (1, 2)}
-    for o, q, k, mass in hist:
-        means[o][q] = mass / k
+class Model:
+    """The levels' mean counts, N, V and the weights k by the level of h."""
 
-    def start():
-        def step(batch):
-            out = []
-            for raw, q in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                keys, q = np.frombuffer(raw, "<u8"), np.frombuffer(q, np.uint8).astype(np.int64)
-                keys, q = keys[q >= least], q[q >= least]
-                size = max(2, -(-int(q.sum()) * BITS // 8))
-                bits = np.zeros(size * 8, np.uint8)
-                for level in range(1, int(q.max(initial=0)) + 1):
-                    bits[places(keys[q >= level], level, size * 8).ravel()] = 1
-                out.append(np.packbits(bits, bitorder="little").tobytes() if len(keys) else None)
-            return [batch.column(0), batch.column(1), out]
-
-        return step
-
-    common.prepare(spark)
-    rows = common.mapped(kept.where("keys is not null").select("order", "bucket", "keys", "levels"), "order int, bucket int, segment binary", start).where("segment is not null")
-    return Filter({(r[0], r[1]): bytes(r[2]) for r in rows.toLocalIterator()}, buckets, means, n, v)
-
-
-def pair_of(x: np.ndarray, keys: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(where texts begin, number of the word before each word, key of the pair)."""
-    begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    before = np.concatenate([[0], x[:-1]])
-    before[begins] = 0  # the end token stands before a first word
-    with np.errstate(over="ignore"):
-        return begins, before, common.mix64(keys[before] * np.uint64(0x9E3779B97F4A7C15) + keys[x])
+    def __init__(self, sizes: list[tuple[int, int, int, int]]):
+        self.means = {o: np.zeros(LEVELS + 1) for o in (1, 2)}
+        for o, q, k, mass in sizes:
+            self.means[o][q] = mass / k
+        self.n, self.v = (sum(r[c] for r in sizes if r[0] == 1) for c in (3, 2))
+        self.weights = np.zeros(LEVELS + 1)
 
 
-def parts(model: Filter, x: np.ndarray, keys: np.ndarray, level: np.ndarray, ends: np.ndarray, less: int = 0):
-    """(begins, level of h, pair estimate, single-word estimate), ``less`` taken off the counts."""
-    begins, before, pair = pair_of(x, keys, ends)
-    single, likely = model.means[1][level[x]], np.zeros(len(x))
-    some = np.flatnonzero((level[before] > 0) & (level[x] > 0))
-    both = model.means[2][model.level(pair[some], 2)]
-    likely[some] = np.minimum(1.0, np.maximum(both - less, 0) / np.maximum(model.means[1][level[before[some]]] - less, 1))
-    return begins, level[before], likely, (np.maximum(single - less, 0) + 1) / (model.n + model.v + 1)
+def parts(model: Model, cells: np.ndarray, less: int = 0):
+    """(level of h, pair estimate, single-word estimate), ``less`` taken off the counts."""
+    h, w, both = (cells.astype(np.int64) >> shift & 255 for shift in (16, 8, 0))
+    likely = np.minimum(1.0, np.maximum(model.means[2][both] - less, 0) / np.maximum(model.means[1][h] - less, 1))
+    return h, likely, (np.maximum(model.means[1][w] - less, 0) + 1) / (model.n + model.v + 1)
 
 
-def log10_probability(model: Filter, x: np.ndarray, keys: np.ndarray, level: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """log10 P of each text in a batch. x: word numbers of all texts, one after another; keys and
-    level: by word number; ends: where each text ends."""
-    begins, history, likely, single = parts(model, x, keys, level, ends)
-    k = model.weights[history]
-    return np.add.reduceat(np.log10(k * likely + (1 - k) * single), begins)
-
-
-def set_weights(model: Filter, raw: list[bytes], rounds: int = 20) -> None:
+def set_weights(model: Model, cells: np.ndarray, times: np.ndarray, rounds: int = 20) -> None:
     """Deleted interpolation: k of each level by expectation maximisation."""
-    if not raw:
+    if not len(cells):
         return
-    words = Words()
-    some = words.numbers(raw)
-    _, history, likely, single = parts(model, np.concatenate(some), words.table, model.level(words.table, 1), np.cumsum([len(s) for s in some]), 1)
-    seen = np.bincount(history, minlength=LEVELS + 1)
+    history, likely, single = parts(model, cells, 1)
+    seen = np.bincount(history, times, LEVELS + 1)
     k = np.full(LEVELS + 1, 0.5)
     for _ in range(rounds):
         a = k[history] * likely
-        k = np.bincount(history, a / (a + (1 - k[history]) * single), LEVELS + 1) / np.maximum(seen, 1)
+        k = np.bincount(history, times * a / (a + (1 - k[history]) * single), LEVELS + 1) / np.maximum(seen, 1)
         k = np.minimum(k, 0.999)
     model.weights = np.where(seen > 0, k, 0.0)
     model.weights[0] = 0.0
 
 
-def score(docs: DataFrame, model: Filter) -> DataFrame:
-    """(doc_id, h, score): h tells apart texts under one id."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_BYTES, by least_count_level
+CELLS = "cell long, times long"
+
+
+def cell_counts(base: DataFrame) -> DataFrame:
+    """(cell, times) over all tokens of documents."""
+
+    def run(batches):
+        cells, times = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for batch in batches:
+            more = [np.frombuffer(b"".join(c.to_pylist()), "<u4").astype(np.int64) for c in batch.columns]
+            if len(more[0]):
+                cells, times = total(np.concatenate([cells, more[0]]), np.concatenate([times, more[1]]))
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(times)], names=["cell", "times"])
+
+    return base.select("cells", "times").mapInArrow(run, CELLS).groupBy("cell").agg(F.sum("times").alias("times"))
+
+
+def train(docs: DataFrame, held) -> tuple[Model, DataFrame]:
+    """The model, and the documents' base sums and cells."""
+    common.prepare(docs.sparkSession)
+    mine = exchange.grouped(docs, held.alias("held"))
+    found = common.stored(read(mine, answers(ask(mine))), "cells")
+    sizes = found.where("level is not null").groupBy("ngram", "level").agg(F.sum("ngrams"), F.sum("mass")).collect()
+    model, base = Model([tuple(r) for r in sizes]), found.where("level is null")
+    some = cell_counts(base.where("not held")).collect()  # at most LEVELS ** 3 rows
+    set_weights(model, np.array([r["cell"] for r in some], np.int64), np.array([r["times"] for r in some], np.int64))
+    return model, base
+
+
+def score(base: DataFrame, model: Model) -> DataFrame:
+    """Base and model score of each row."""
+    shared = base.sparkSession.sparkContext.broadcast(model)  # a few numbers a level
+    n, v = model.n, model.v
 
     def start():
         use = shared.value
-        state = {"words": Words(), "level": np.zeros(0, np.int64)}
 
         def step(batch):
             if not batch.num_rows:
                 return None
-            if len(state["words"].table) > CACHE:
-                state.update(words=Words(), level=np.zeros(0, np.int64))
-            words = state["words"]
-            some = words.numbers(batch.column(1).to_pylist())
-            fresh = words.table[len(state["level"]) :]
-            state["level"] = np.concatenate([state["level"], use.level(fresh, 1)])
-            x = np.concatenate(some)
-            return [batch.column(0), batch.column(2), log10_probability(use, x, words.table, state["level"], np.cumsum([len(s) for s in some]))]
+            d, held, tokens, known, logs, cells, times = batch.columns
+            cells = cells.to_pylist()
+            begins = np.cumsum([0, *(len(c) // 4 for c in cells[:-1])])
+            history, likely, single = parts(use, np.frombuffer(b"".join(cells), "<u4"))
+            k = use.weights[history]
+            by = np.frombuffer(b"".join(times.to_pylist()), "<u4") * np.log10(k * likely + (1 - k) * single)
+            base_score = logs.to_numpy(zero_copy_only=False) - tokens.to_numpy(zero_copy_only=False) * np.log10(n + v + 1)
+            return [d, held, tokens, known, np.full(len(cells), n), base_score, np.add.reduceat(by, begins)]
 
         return step
 
-    return common.mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.body(F.col("text")).alias("b"), F.xxhash64("text").alias("h")), "doc_id long, h long, score double", start)
-
-
-def train(docs: DataFrame, held) -> tuple[Filter, DataFrame, int, int]:
-    """The filter, the documents' base sums, N and V."""
-    common.prepare(docs.sparkSession)
-    mine = exchange.grouped(docs, held.alias("held"), F.xxhash64("text").alias("h"))
-    base = common.stored(counted(base_and_pairs(mine, count_words(mine))), "counts")
-    n, v = base.where("kind = 2").agg(F.coalesce(F.sum("n_tokens"), F.lit(0)), F.coalesce(F.sum("n_known"), F.lit(0))).first()
-    model = build(base.where("kind = 1"), exchange.partitions(docs), n, v)
-    some = docs.where(~held).select("doc_id", common.body(F.col("text")).alias("b")).orderBy(F.xxhash64("doc_id"), "doc_id", "b").limit(FIT_DOCS)
-    set_weights(model, [bytes(r["b"]) for r in some.collect()])
-    return model, base.where("kind = 0"), n, v
+    out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return common.mapped(base.select("doc_id", "held", "n_tokens", "n_known", "logs", "cells", "times"), out, start)
 
 
 def op3_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model, base, n, v = train(docs, common.split_of(F.col("doc_id"), HOLD_MOD) == HOLD_AT)
-    scores = score(docs, model)
-    return joined(base, scores, n, v)
-
-
-def joined(base: DataFrame, scores: DataFrame, n: int, v: int) -> DataFrame:
-    """Base and model score of each row; h tells apart texts under one id."""
-    left = base.select("doc_id", "h", "held", "n_tokens", "n_known", "logs")
-    right = scores.dropDuplicates(["doc_id", "h"]).select(F.col("doc_id").alias("id"), F.col("h").alias("t"), "score")
-    both = left.join(right, left["doc_id"].eqNullSafe(right["id"]) & (left["h"] == right["t"]))
-    return both.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), (F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(n + v + 1)))).alias("base_score"), "score")
+    model, base = train(docs, common.split_of(F.col("doc_id"), HOLD_MOD) == HOLD_AT)
+    return score(base, model)
