@@ -105,6 +105,22 @@ def test_lm_base_counts(spark, folder):
     assert got == want
 
 
+def test_similar_texts_are_decided_exactly(spark):
+    """Pairs of similarity just over and just under 0.8, which an estimate of a sketch cannot tell apart, and short texts."""
+    rng, rows, want = random.Random(12), [], {}
+    for k in range(120):
+        words = [f"w{k}x{i}" for i in range(rng.choice([9, 40, 300, 900]))]
+        n = len(words) - 4
+        for gone in range(n):  # words cut off the end, until the similarity is next to 0.8
+            if (n - gone) / n < 0.8:
+                break
+        at = len(words) - (gone - 1 if k % 2 else gone)
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words[:at]))]
+        want |= {2 * k: 2 * k, 2 * k + 1: 2 * k + (1 - k % 2)}
+    got = {r["doc_id"]: r["component_id"] for r in simhash.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
+
+
 def lm_scores(rows):
     """(id, tokens, score) by exact counts of all words and all pairs, weights fitted on all training texts."""
     texts = [(i, i is not None and zlib.crc32(str(i).encode()) % 7 == 2, [b"", *(t or "").encode().lower().split(), b""]) for i, t in rows]

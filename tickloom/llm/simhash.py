@@ -221,7 +221,10 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 
 # Similarity of 0.8 on five-word shingles, for the filtering stage. Texts that similar may differ in
 # a dozen bits of a whole-text fingerprint, so texts get fingerprints of small shingle samples as well.
-BANDS, SAMPLE, BINS, ALIKE = 12, 3, 512, 0.8
+BANDS, SAMPLE, BINS = 12, 3, 512
+# A sketch's standard error is 0.02 at most with FEW bins in use or more: estimates from MAYBE to SURE
+# are decided on the shingle sets, with fewer bins all from MAYBE_FEW.
+SURE, MAYBE, MAYBE_FEW, FEW = 0.9, 0.7, 0.5, 128
 _SALT = np.random.default_rng(12).integers(1, 2**64, (BANDS + 1, 1), dtype=np.uint64)
 
 
@@ -264,37 +267,105 @@ def sketch(h: np.ndarray) -> bytes:
     return out.tobytes()
 
 
-def alike_forest(s: np.ndarray) -> list[tuple[int, int]]:
-    """Tree edges of the texts of one place, linked where sketches agree in ALIKE of the bins in use."""
-    left, edges = np.arange(1, len(s)), []
-    todo = [0]
-    full = np.packbits(s > 0, axis=1).view(np.uint64)  # bins in use, a bit each
-    while todo or len(left):
-        if not todo:
-            todo, left = [int(left[0])], left[1:]
-        x = todo.pop()
-        found = []
-        for at in range(0, len(left), 4096):
-            some = left[at : at + 4096]
-            used = np.bitwise_count(full[some] | full[x]).sum(1, dtype=np.int64)
-            # Equal bins, counted eight columns at a time: a byte holds at most BINS / 8 ones.
-            equal = (s[some] == s[x]).view(np.uint64).sum(1).view(np.uint8).reshape(-1, 8).sum(1, dtype=np.int64)
-            same = equal - (BINS - used)  # bins that both leave empty are equal, but not alike
-            found.append(same >= ALIKE * used)
-        near = np.concatenate(found) if found else np.zeros(0, bool)
-        edges += [(x, int(y)) for y in left[near]]
-        todo += left[near].tolist()
-        left = left[~near]
-    return edges
+def estimates(s: np.ndarray, x: int, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(equal bins, bins in use) of the sketch x and each of some."""
+    equal, used = np.zeros(len(some), np.int64), np.zeros(len(some), np.int64)
+    for at in range(0, len(some), 4096):
+        them = s[some[at : at + 4096]]
+        # Bins counted eight columns at a time: a byte holds at most BINS / 8 ones.
+        count = lambda y: y.view(np.uint64).sum(1).view(np.uint8).reshape(-1, 8).sum(1, dtype=np.int64)
+        empty = count((them | s[x]) == 0)  # bins that both leave empty are equal, but not alike
+        equal[at : at + 4096], used[at : at + 4096] = count(them == s[x]) - empty, BINS - empty
+    return equal, used
+
+
+def judged(s: np.ndarray, x: int, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of some are surely linked to x, and which may be: estimates near 0.8, by a wider margin where few bins are in use."""
+    equal, used = estimates(s, x, some)
+    sure = (equal >= SURE * used) & (used >= FEW)
+    return sure, ~sure & (equal >= np.where(used >= FEW, MAYBE, MAYBE_FEW) * used)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Exactly: shingle sets of similarity 0.8 or more."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both * 5 >= 4 * (len(a) + len(b) - both)
+
+
+def alike_forest(s: np.ndarray, sets: list[np.ndarray] | None = None) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Tree edges of the texts of one place, and the texts whose links need their shingle sets.
+
+    Without sets, a tree that is held by sure links is returned; of one that needs links that may
+    be, all texts are. With sets, those links are decided exactly and no text is left.
+    """
+    left, edges, unsettled = np.arange(len(s)), [], []
+    while len(left):
+        todo, left, unsure = [int(left[0])], left[1:], False
+        tree, members = [], list(todo)
+        while todo and len(left):
+            x = todo.pop()
+            near, may = judged(s, x, left)
+            if sets is not None:
+                near[may] = [similar(sets[x], sets[y]) for y in left[may]]
+            else:
+                unsure |= bool(may.any())
+                near |= may
+            found, left = left[near].tolist(), left[~near]
+            tree += [(x, y) for y in found]
+            todo += found
+            members += found
+        if unsure:
+            unsettled += members
+        else:
+            edges += tree
+    return edges, np.array(sorted(unsettled), np.int64)
+
+
+def met(dealt: DataFrame, shingle: int | None = None) -> DataFrame:
+    """(place, a, b) of the texts (key, rep, sketch) that meet: tree edges have no place; a text a whose
+    links need shingles has the number of its place, one for all places with the same such texts.
+    With ``shingle``, texts stand for sketches and every link is decided."""
+
+    def out(key, reps, what):
+        change = np.flatnonzero(np.diff(key)) + 1
+        places_, a, b = [], [], []
+        for x, y in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
+            rep, order = np.unique(reps[x:y], return_index=True)
+            here = [what[x + k] for k in order.tolist()]
+            sets = [shingle_hashes(t, shingle) for t in here] if shingle else None
+            sketches = b"".join(map(sketch, sets) if shingle else here)
+            edges, left = alike_forest(np.frombuffer(sketches, np.uint8).reshape(-1, BINS), sets)
+            place = xxhash.xxh3_64_intdigest(rep[left].tobytes()) >> 1
+            places_ += [None] * len(edges) + [place] * len(left)
+            a += [int(rep[i]) for i, _ in edges] + rep[left].tolist()
+            b += [int(rep[j]) for _, j in edges] + [None] * len(left)
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (places_, a, b)], names=["place", "a", "b"])
+
+    def meet(batches):
+        key, reps, what = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        for batch in batches:
+            key, reps = (np.concatenate([h, c.to_numpy(zero_copy_only=False)]) for h, c in zip((key, reps), batch.columns, strict=False))
+            what += batch.column(2).to_pylist()
+            if not len(key):
+                continue
+            cut = int(np.searchsorted(key, key[-1]))  # the last place may go on
+            if cut:
+                yield out(key[:cut], reps[:cut], what[:cut])
+            key, reps, what = key[cut:], reps[cut:], what[cut:]
+        if len(key):
+            yield out(key, reps, what)
+
+    return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "place long, a long, b long")
 
 
 def alike(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, component_id) of every row with an id: groups of texts at least ALIKE similar.
+    """(doc_id, component_id) of every row with an id: groups of texts of similarity 0.8 or more.
 
     Equal word sequences are folded first. Texts meet where a band's fingerprint has equal pivot
-    coordinates (pairs with any coordinate difference are discarded); survivors are verified by
-    sketch. Two texts of similarity 0.8 meet in at least one band but for about 2 in 10,000 pairs.
-    A place emits a spanning forest. Texts without words are equal to each other.
+    coordinates (pairs with any coordinate difference are discarded). Two texts of similarity 0.8
+    meet in at least one band but for about 2 in 10,000 pairs. Sketches decide pairs
+    well over or under 0.8; places with others meet a second time, those texts only, and
+    are decided exactly on their shingle sets. A place emits a spanning forest. Texts without words are equal to each other.
     """
     common.prepare(docs.sparkSession)
 
@@ -319,32 +390,12 @@ def alike(docs: DataFrame, shingle: int = 5) -> DataFrame:
     some = placed.join(shared, F.col("key") == F.col("k"), "left_semi")
     dealt = some.join(first.select(F.col("doc_id").alias("r"), "sketch"), F.col("rep") == F.col("r")).select("key", "rep", "sketch")
 
-    def meet(batches):
-        held = None
-
-        def out(key, reps, s):
-            change = np.flatnonzero(np.diff(key)) + 1
-            a, b = [], []
-            for x, y in zip([0, *change.tolist()], [*change.tolist(), len(key)], strict=True):
-                for i, j in alike_forest(s[x:y]):
-                    a.append(int(reps[x + i]))
-                    b.append(int(reps[x + j]))
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-        for batch in batches:
-            got = [batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False), np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, BINS)]
-            if held is not None:
-                got = [np.concatenate([h, c]) for h, c in zip(held, got, strict=True)]
-            if not len(got[0]):
-                continue
-            cut = int(np.searchsorted(got[0], got[0][-1]))
-            if cut:
-                yield out(*(x[:cut] for x in got))
-            held = [x[cut:] for x in got]
-        if held is not None:
-            yield out(*held)
-
-    edges = dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "a long, b long")
+    edges = common.stored(met(dealt), "links")
+    # Places with the same such texts, as the bands of one group often have, meet once.
+    unsure = edges.where("place is not null").select("place", F.col("a").alias("rep")).distinct()
+    texts = rows.join(unsure, F.col("doc_id") == F.col("rep")).select(F.col("place").alias("key"), "rep", "b")
+    again = met(texts, shingle)
+    edges = edges.where("place is null").select("a", "b").unionByName(again.select("a", "b"))
     found = graph.components(edges)
     own = prints.select("doc_id", "same").join(reps.withColumnRenamed("same", "s"), F.col("same") == F.col("s"))
     return own.join(found, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
