@@ -2,8 +2,10 @@
 
 import datetime as dt
 import math
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.functions import snapshot
 from tickloom.functions.dialect import Spark
@@ -112,6 +114,48 @@ def test_as_of_and_store(spark, tmp_path):
     assert [r["v"] for r in store.current(spark, path).collect()] == [1.0]
 
 
+def test_derived_means_run_over_the_whole_series(spark):
+    """Two thousand hours against sequential folds; the frames of 720 hours left out older values."""
+    from tickloom.functions import derived
+
+    rng = random.Random(9)
+    made = [100.0]
+    for _ in range(1999):
+        made.append(made[-1] * math.exp(rng.gauss(0, 0.02)))
+    rows = [(c, c * (1 + rng.random() / 50), c * (1 - rng.random() / 50), c, 1.0) for c in made]
+    df = table(spark, rows)
+    for c in derived.INPUTS[5:]:
+        df = df.withColumn(c, F.col("close"))
+
+    def fold(values, a):
+        e = None
+        for x in values:
+            e = x if e is None else e if x is None else (1 - a) * e + a * x
+            yield e
+
+    def close_to(got, want):
+        assert all(x is None or y is None or x == pytest.approx(y, rel=1e-7) for x, y in zip(got, want, strict=True)) and got[-1] is not None
+
+    gaps = [None if i % 7 == 3 or i < 5 else c for i, c in enumerate(made)]
+    holed = df.withColumn("x", F.when((F.floor((F.unix_timestamp("ts") - F.unix_timestamp(F.lit(T0))) / 3600) % 7 != 3) & (F.col("ts") >= F.lit(T0 + dt.timedelta(hours=5))), F.col("close")))
+    got = layers.apply(holed, derived.emas(S, {"e24": ("x", 24), "e720": ("x", 720)})).orderBy("ts").collect()
+    for n in (24, 720):
+        close_to([r[f"e{n}"] for r in got], list(fold(gaps, 2 / (n + 1))))
+    gain, loss = ([0.0] + [max(s * (b - a), 0) for a, b in zip(made, made[1:])] for s in (1, -1))
+    pdm, mdm, tr = [0.0], [0.0], [rows[0][1] - rows[0][2]]
+    for (_, h0, l0, c0, _), (_, h, lo, _, _) in zip(rows, rows[1:]):
+        up, down = h - h0, l0 - lo
+        pdm.append(up if up > down and up > 0 else 0.0)
+        mdm.append(down if down > up and down > 0 else 0.0)
+        tr.append(max(h - lo, abs(h - c0), abs(lo - c0)))
+    got = layers.apply(df, derived.rsi_adx(S)[0]).orderBy("ts").collect()
+    for k in (24, 720):
+        g, w, p, m, t = (list(fold(x, 1 / k)) for x in (gain, loss, pdm, mdm, tr))
+        close_to([r[f"rsi_{k}"] for r in got], [100 - 100 / (1 + x / y) if y else None for x, y in zip(g, w)])
+        dx = [100 * abs(x - y) / (x + y) if i >= k - 1 and x + y else None for i, (x, y) in enumerate(zip(p, m))]
+        close_to([r[f"adx_{k}"] for r in got], list(fold(dx, 1 / k)))
+
+
 def test_streaming_bars_equal_batch(spark, tmp_path):
     from tickloom.streaming.bars import run, stream_bars
 

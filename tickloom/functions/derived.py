@@ -1,15 +1,14 @@
 """Derived features over the unified hourly table (price, open interest, premium, spot flow).
 
 Inputs are carried forward over missing hours first, so exponential means never see a gap inside a
-series; their frames hold ``LOOKBACK`` hours. Families return (layers, output columns).
+series; they run over the whole series. Families return (layers, output columns).
 """
 
 from __future__ import annotations
 
-from tickloom.functions.dialect import Spark, at_least, avg, corr, div, ewm, frame, full, lag, ln, over, span, std, zscore
+from tickloom.functions.dialect import Spark, at_least, avg, corr, div, full, lag, ln, over, span, std, zscore
 from tickloom.plans.layers import Layer
 
-LOOKBACK = 720
 FAST, SLOW, LONG = 24, 168, 720
 Plan = tuple[list[Layer], list[str]]
 INPUTS = [
@@ -32,8 +31,7 @@ def pct(x: str, k: int = 1) -> str:
 
 def emas(d: Spark, wanted: dict[str, tuple[str, int]]) -> list[Layer]:
     """Exponential means (unadjusted, by span) of columns: {name: (column, span)}."""
-    arrays = {f"arr_{c}": d.gather(f"CAST({c} AS DOUBLE)", LOOKBACK) for c, _ in wanted.values()}
-    return [arrays, {name: ewm(d, f"arr_{c}", span(n), False) for name, (c, n) in wanted.items()}]
+    return d.means({name: (c, span(n), None) for name, (c, n) in wanted.items()})
 
 
 def base(d: Spark) -> list[Layer]:
@@ -63,13 +61,12 @@ def rsi_adx(d: Spark) -> Plan:
     spans = (24, 168, 720)
     moves = {"up_m": f"coalesce(h - {lag('h')}, 0)", "dn_m": f"coalesce({lag('l')} - l, 0)", "gain": "coalesce(greatest(c - prev_c, 0), 0)", "loss": "coalesce(greatest(prev_c - c, 0), 0)", "tr": "greatest(h - l, abs(h - prev_c), abs(l - prev_c))"}
     dm = {"pdm": "CASE WHEN up_m > dn_m AND up_m > 0 THEN up_m ELSE 0 END", "mdm": "CASE WHEN dn_m > up_m AND dn_m > 0 THEN dn_m ELSE 0 END"}
-    arrays = {f"arr_{x}": d.gather(f"CAST({x} AS DOUBLE)", LOOKBACK) for x in ("gain", "loss", "pdm", "mdm", "tr")}
-    means = {f"{x}{k}": f"CASE WHEN n >= {k} THEN {ewm(d, f'arr_{x}', 1 / k, False)} END" for x in ("gain", "loss", "pdm", "mdm", "tr") for k in spans}
+    means = d.means({f"{x}{k}": (x, 1 / k, f"n >= {k}") for x in ("gain", "loss", "pdm", "mdm", "tr") for k in spans})
     di = {f"{s}di{k}": f"100 * {div(f'{s}dm{k}', f'tr{k}')}" for k in spans for s in ("p", "m")}
     dx = {f"dx{k}": f"100 * {div(f'abs(pdi{k} - mdi{k})', f'pdi{k} + mdi{k}')}" for k in spans}
-    dxs = {f"arr_dx{k}": d.gather(f"dx{k}", LOOKBACK) for k in spans}
-    out = {f"rsi_{k}": f"100 - 100 / (1 + {div(f'gain{k}', f'loss{k}')})" for k in spans} | {f"adx_{k}": f"CASE WHEN count(dx{k}) {frame(LOOKBACK)} >= {k} THEN {ewm(d, f'arr_dx{k}', 1 / k, False)} END" for k in spans}
-    return [*base(d), moves, dm, arrays, means, di, dx, dxs, out], list(out)
+    *dxs, adx = d.means({f"adx_{k}": (f"dx{k}", 1 / k, f"{d.seen(f'dx{k}')} >= {k}") for k in spans}, cast=False)
+    out = {f"rsi_{k}": f"100 - 100 / (1 + {div(f'gain{k}', f'loss{k}')})" for k in spans} | adx
+    return [*base(d), moves, dm, *means, di, dx, *dxs, out], list(out)
 
 
 def zscores(d: Spark) -> Plan:

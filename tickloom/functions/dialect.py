@@ -7,6 +7,8 @@ missing value. All windows are row frames of one symbol in time order.
 from __future__ import annotations
 
 ORDER = "PARTITION BY symbol ORDER BY ts"
+#: Rows folded at once in a mean over a whole series.
+BLOCK = 720
 
 
 def frame(n: int | None, ahead: bool = False) -> str:
@@ -69,6 +71,10 @@ def corr(a: str, b: str, n: int, m: int | None = None) -> str:
     return f"CASE WHEN count({x}) {frame(n)} >= {n if m is None else m} THEN {e} END"
 
 
+def given(need: str | None, e: str) -> str:
+    return e if need is None else f"CASE WHEN {need} THEN {e} END"
+
+
 class Spark:
     name = "spark"
 
@@ -110,9 +116,44 @@ class Spark:
         return f"last({x}, true) {frame(n)}"
 
 
+    def means(self, wanted: dict[str, tuple[str, float, str | None]], cast: bool = True) -> list[dict[str, str]]:
+        """Unadjusted exponential means {name: (column, a, condition or None)} over the whole series, as layers.
+
+        A series is cut into blocks of BLOCK rows: Z of a row is that of its block so far, and
+        what the blocks before carry over, each decayed by the values that followed."""
+        columns = list(dict.fromkeys(c for c, *_ in wanted.values()))
+        tag = "_".join(columns)
+        block = f"blk_{tag}"
+        inside = f"OVER (PARTITION BY symbol, {block} ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        earlier = f"OVER ({ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+        arrays = {f"arr_{c}": f"collect_list(CAST({c} AS DOUBLE)) {inside}" for c in columns}
+        arrays |= {f"fst_{c}": f"first(CAST({c} AS DOUBLE), true) {frame(None)}" for c in columns} | {f"cnt_{c}": f"count({c}) {frame(None)}" for c in columns}
+        arrays |= {f"end_{tag}": f"coalesce(lead({block}) OVER ({ORDER}) <> {block}, false)"}
+        sums = {f"z_{k}": self.fold(f"arr_{c}", a) for k, (c, a, _) in wanted.items()}
+        ends = {f"past_{k}": f"collect_list(CASE WHEN end_{tag} THEN {self.record(z=f'z_{k}', n=f'size(arr_{c})')} END) {earlier}" for k, (c, *_) in wanted.items()}
+        out = {}
+        for k, (c, a, need) in wanted.items():
+            carried = f"aggregate(past_{k}, 0D, (s, b) -> s * power({1 - a!r}D, b.n) + b.z)"
+            z = f"(z_{k} + power({1 - a!r}D, size(arr_{c})) * {carried})"
+            out[k] = given(need, f"(CASE WHEN cnt_{c} > 0 THEN {z} * {a!r}D + power({1 - a!r}D, cnt_{c}) * fst_{c} END)")
+        return [{block: f"floor((row_number() OVER ({ORDER}) - 1) / {BLOCK})"}, arrays, sums, ends, out]
+
+    def seen(self, x: str) -> str:
+        """How many values the mean of a series stands on."""
+        return over("count", x, None)
+
+
 class Duck(Spark):
     name = "duckdb"
 
+    def means(self, wanted: dict[str, tuple[str, float, str | None]], cast: bool = True) -> list[dict[str, str]]:
+        """The oracle's frames hold BLOCK rows, which is the whole series of the test tables; longer ones differ."""
+        arrays = {f"arr_{c}": self.gather(f"CAST({c} AS DOUBLE)" if cast else c, BLOCK) for c, *_ in wanted.values()}
+        return [arrays, {k: given(need, ewm(self, f"arr_{c}", a, False)) for k, (c, a, need) in wanted.items()}]
+
+    def seen(self, x: str) -> str:
+        return over("count", x, BLOCK)
+
     def quantile(self, x: str, p: float, n: int) -> str:
         return f"quantile_cont({x}, {p}) {frame(n)}"
 
