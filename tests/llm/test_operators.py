@@ -158,6 +158,11 @@ def test_lm_keeps_ngrams_beyond_any_bound(spark, folder, monkeypatch):
     assert lm_error(spark, folder) < 0.02
 
 
+def test_lm_weights_are_fitted_on_all_texts(spark, folder, monkeypatch):
+    monkeypatch.setattr(lm, "FIT_DOCS", 1, raising=False)  # once the number of texts that set the weights
+    assert lm_error(spark, folder) < 0.02
+
+
 def test_lm_filter_gives_levels_back():
     rng = np.random.default_rng(3)
     keys, q = rng.integers(0, 2**63, 500, dtype=np.uint64), rng.integers(1, 12, 500)
