@@ -27,6 +27,8 @@ def folder(spark, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("sf"))
     rows = [(i, t, ["en", "fr", None][i % 3], "s", i, "stray", "stray") for i, t in enumerate(texts())]
     rows += [rows[3], (None, "null id text", "en", "s", 0, None, None), (100, texts()[0], "en", None, None, "x", None)]
+    # one id, two texts: a copy of another row's, and one of its own
+    rows += [(101, texts()[5], "en", "s", 0, None, None), (101, "Its own text, that nothing else in this small table has, of more than fifty bytes.", "en", "s", 0, None, None)]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, component string, score string").write.parquet(f"{at}/documents.parquet")
     spark.createDataFrame([(i, i % 2, int(i % 4 == 0)) for i in range(0, 30)] + [(None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{at}/labels.parquet")
     spark.createDataFrame([(1, texts()[3]), (2, None), (3, ""), (4, "never seen words stand here at all")], "item_id long, text string").write.parquet(f"{at}/benchmark.parquet")
@@ -205,31 +207,50 @@ def test_repeats(spark, folder):
     assert got == want
 
 
+def joined(some):
+    return np.frombuffer(b"".join(some), np.uint8), np.array([len(p) for p in some], np.int64)
+
+
 def test_index_statistics():
     rng = random.Random(1)
     base = bytes(rng.choice(b"abc\x00d") for _ in range(400))
-    pieces = list(dict.fromkeys(base[i : i + rng.randint(50, 80)] for i in rng.sample(range(300), 40)))
-    ids = np.array(rng.sample(range(1000), len(pieces)))
-    for p, low in zip(pieces, repeats.least_ids(pieces, ids), strict=True):
-        assert [min(i for q, i in zip(pieces, ids, strict=True) if p[s : s + 50] in q) for s in range(len(p) - 49)] == low.tolist()
-    index = repeats.Index(pieces, ids)
+    some = list(dict.fromkeys(base[i : i + rng.randint(50, 80)] for i in rng.sample(range(300), 40)))
+    index = repeats.Index(*joined(some))
     patterns = [bytes(rng.choice(b"abcd\x00z") for _ in range(25)) for _ in range(8)]
-    for who, at, length, place in index.statistics(patterns):
+    for who, at, length, place in index.statistics(*joined(patterns)):
         for w, a, n, p in zip(who, at, length, place, strict=True):
             rest = patterns[w][a:]
-            assert n == max(k for k in range(len(rest) + 1) if any(rest[:k] in x for x in pieces))
-            assert not n or index.text[p : p + n].tobytes() == rest[:n]
-
-
-def test_large_anchor_is_cut_to_windows(monkeypatch):
-    monkeypatch.setattr(repeats, "SLAB", 200)
-    rng = random.Random(4)
-    pieces = [bytes(rng.choice(b"ab") for _ in range(60)) for _ in range(20)]
-    pieces += [p[:55] + b"zzzzz" for p in pieces]
-    ids = np.arange(len(pieces))[::-1].copy()
-    got = repeats.in_slabs(np.zeros(len(pieces), np.uint64), pieces, ids)
-    for p, low in zip(pieces, got, strict=True):
-        assert low.tolist() == [min(i for q, i in zip(pieces, ids, strict=True) if p[s : s + 50] in q) for s in range(11)]
+            assert n == max(k for k in range(len(rest) + 1) if any(rest[:k] in x for x in some))
+            assert not n or index.text[p : p + n].tobytes() == rest[:n] and rest[:n] in some[index.owner[p]]
+
+
+@pytest.mark.parametrize("slab", [100, 3000, 1 << 19])
+def test_least_ids(monkeypatch, slab):
+    """Against all windows of all pieces: many variants around few anchors, so that every width of class is used."""
+    monkeypatch.setattr(repeats, "SLAB", slab)
+    rng = random.Random(2)
+    base = bytes(rng.choice(b"abc\x00d") for _ in range(300))
+    docs = [bytearray(base[i : i + rng.randint(60, 200)]) for i in rng.sample(range(230), 120)] + [bytearray(base) for _ in range(200)]
+    for d in docs:
+        for _ in range(rng.randint(0, 4)):
+            d[rng.randrange(len(d))] = rng.choice(b"abcdz")
+    text, size = joined(docs)
+    first, last, _, doc, place = repeats.windows(text, np.cumsum(size))
+    ids, raw = np.array(rng.sample(range(-1000, 1000), len(docs)))[doc], text.tobytes()
+    low: dict = {}
+    for a, b, p, i in zip(first.tolist(), (last + 50).tolist(), place.tolist(), ids.tolist(), strict=True):
+        low[raw[a:b], p] = min(i, low.get((raw[a:b], p), i))
+    some = [p for p, _ in low]
+    assert len(set(some)) == len(some) > 500
+    flat, size = joined(some)
+    ids = np.array(list(low.values()))
+    got, start = repeats.least_ids(flat, np.cumsum(size) - size, size, np.array([p for _, p in low]), ids)
+    least: dict = {}
+    for p, i in zip(some, ids.tolist(), strict=True):
+        for k in range(len(p) - 49):
+            least[p[k : k + 50]] = min(i, least.get(p[k : k + 50], i))
+    want = [least[p[k : k + 50]] for p in some for k in range(len(p) - 49)]
+    assert got.tolist() == want and (got < np.repeat(ids, size - 49)).any()
 
 
 def test_tiling_catches_reordered_passages(spark, folder):

@@ -3,31 +3,35 @@
 A byte goes if a string of ``LENGTH`` = 50 bytes covers it that also starts in a
 document of smaller id. Three steps, all over whole texts:
 
-Exact copies of a whole text are folded first: copies of the one with the least id go whole. Then:
+Exact copies of a whole text are folded first: copies of the one with the least id go whole. Groups
+of documents ask about their different texts, so that a text with very many copies is a few rows. Then:
 
 1. Every 50-byte window has one anchor: of the 16-byte strings inside it, the
    leftmost of least hash. Equal windows have equal anchors, so only windows whose
    anchor occurs in two documents can repeat. Groups ask buckets about their different
    anchors (exchange.py).
 2. Neighbouring windows of one such anchor make a piece of at most 84 bytes. A bucket gets each
-   different piece of its anchors with the least id that has it, and indexes them in
-   slabs of ``SLAB`` bytes (an anchor's pieces stay together): the suffix
-   order, its run-compressed Burrows-Wheeler transform with suffix positions
-   sampled at both ends of every run, and, at each indexed position, the least id that has the
-   50 bytes there. Pieces are streamed through the index from their ends,
-   all at once, one byte a step: matching statistics by last-to-first steps; where the
-   next byte is not the run's, the walk goes on from the nearer of the two neighbouring runs of that byte.
-3. Where a match has 50 or more bytes, the window's least id comes back to the
+   different piece of its anchors with the least id that has it. Windows with
+   the anchor at nearly the same place share the bytes around it that all of them have; those
+   bytes name a class, and equal windows are in one class. The member of least id stands for
+   its class: such members are indexed, in slabs of ``SLAB`` bytes, by their run-compressed
+   Burrows-Wheeler transform with text positions sampled at both ends of every run. The class's other members
+   are streamed through the index from their ends, all at once, one byte a step:
+   matching statistics by last-to-first steps; where the next byte is not the run's, the walk goes on
+   from the nearer of the two neighbouring runs of that byte.
+3. Where a match has 50 or more bytes, the indexed member's id is the window's least. Windows without
+   a match go on to narrower classes (18, 6, 2 and 1 places of the anchor), of
+   which the last hold equal windows only. Least ids come back to the
    groups, which mark the windows of documents with a greater id.
 
 Rows with a null id are left whole and remove nothing; empty and null texts, and texts under 50
-bytes, are never touched; equal ids do not remove from each other.
+bytes, are never touched; equal ids do not remove from each other, but rows of one id are judged each by
+its own text.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +40,10 @@ from tickloom.llm import common, exchange
 
 LENGTH, ANCHOR = 50, 16
 SPREAD = LENGTH - ANCHOR + 1
-#: Bytes of text that are anchored, and indexed, at a time.
+#: Bytes of text that are anchored, and indexed or streamed, at a time.
 CHUNK, SLAB = 1 << 21, 1 << 19
+#: Places of the anchor that a class spans, wide classes first.
+WIDTHS = (18, 6, 2, 1)
 NONE = np.iinfo(np.int64).max
 
 
@@ -53,65 +59,73 @@ def anchor_hashes(text: np.ndarray) -> np.ndarray:
         return common.mix64(x[:n] + x[8 : n + 8] * np.uint64(0xD6E8FEB86659FD93))
 
 
-def windows(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def windows(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Pieces of a text made of documents that end at ``ends``: (first window, last window, anchor
-    hash, document) of each run of windows that share an anchor."""
+    hash, document, place of the anchor) of each run of windows that share an anchor."""
     h = anchor_hashes(text)
     n = len(text) - LENGTH + 1
     if n <= 0:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * 2
     low = (h & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(h), dtype=np.uint64)
     span = 1
     while span * 2 <= SPREAD:
         low = np.minimum(low[: len(low) - span], low[span:])
         span *= 2
     at = (np.minimum(low[:n], low[SPREAD - span : SPREAD - span + n]) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    doc = np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0))[:n]
-    whole = np.arange(n) + LENGTH <= ends[doc]
+    begins = np.concatenate([[0], ends[:-1]])
     new = np.ones(n, bool)
-    new[1:] = (at[1:] != at[:-1]) | (doc[1:] != doc[:-1]) | (whole[1:] != whole[:-1])
+    new[1:] = at[1:] != at[:-1]
+    new[begins[begins < n]] = True
+    past = ends - LENGTH + 1  # windows from here on run past the document's end
+    new[past[(past > 0) & (past < n)]] = True
     first = np.flatnonzero(new)
     last = np.concatenate([first[1:], [n]]) - 1
-    keep = whole[first]
-    first, last = first[keep], last[keep]
-    return first, last, h[at[first]], doc[first]
+    doc = np.searchsorted(ends, first, "right")
+    keep = first + LENGTH <= ends[doc]
+    first, last, doc = first[keep], last[keep], doc[keep]
+    return first, last, h[at[first]], doc, at[first] - first
+
+
+def spread(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, ... (count[0] of them), begin[1], ..."""
+    return np.repeat(begin - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+
+
+def words_at(text: np.ndarray) -> np.ndarray:
+    """The eight bytes from each position on."""
+    return np.ndarray((max(0, len(text) - 7),), "<u8", np.ascontiguousarray(text).data, strides=(1,))
+
+
+def hashes(words: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int) -> np.ndarray:
+    """Hash of the ``size`` bytes, 8 to ``most``, from each ``begin`` on."""
+    out = size.astype(np.uint64)
+    for k in range(0, most, 8):
+        with np.errstate(over="ignore"):
+            out = common.mix64(out * np.uint64(0x9E3779B97F4A7C15) + words[begin + np.minimum(k, size - 8)])
+    return out
 
 
 class Index:
-    """r-index of pieces: run-length BWT, run-end samples, least id at each position.
+    """r-index of texts: run-length BWT and text positions at run ends.
 
-    A separator stands before, between and after the pieces. Separators are smaller than all bytes
+    A separator stands before, between and after the texts. Separators are smaller than all bytes
     and differ from each other, in the order of their places.
     """
 
-    def __init__(self, pieces: list[bytes], ids: np.ndarray):
-        size = np.array([len(p) for p in pieces], np.int64)
-        self.text = np.frombuffer(b"\0" + b"\0".join(pieces) + b"\0", np.uint8)
-        n = len(self.text)
-        self.starts = np.cumsum(size + 1) - size
+    def __init__(self, raw: np.ndarray, size: np.ndarray):
         owner = np.repeat(np.arange(len(size)), size)
         inside = np.arange(len(owner)) + owner + 1
-        self.left = np.zeros(n, np.int64)  # bytes up to the next separator; 0 is a separator
-        self.left[inside] = np.repeat(np.cumsum(size), size) - np.arange(len(owner))
-        rank, depth, rank32 = self._rank8(), 8, None
-        while True:
-            rank32 = rank if depth == 32 else rank32
-            if depth >= int(self.left.max()):
-                break
+        n = len(raw) + len(size) + 1
+        self.text, self.left, self.owner = np.zeros(n, np.uint8), np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.text[inside], self.owner[inside] = raw, owner
+        self.left[inside] = np.repeat(np.cumsum(size), size) - np.arange(len(owner))  # bytes up to the next separator; 0 is a separator
+        rank, depth = self._rank8(), 8
+        while depth < int(self.left.max()):
             ahead, more = np.zeros(n, np.int64), np.flatnonzero(self.left > depth)
             ahead[more] = rank[more + depth] + 1
             rank = dense(rank * (n + 1) + ahead)
             depth *= 2
         order = np.argsort(rank * (n + 1) + np.arange(n))  # ties by place
-        self.least = np.full(n, NONE)
-        at = np.flatnonzero(self.left >= LENGTH)
-        if len(at):  # the first 32 and the last 32 bytes name the 50
-            key = dense(rank32[at] * (n + 1) + rank32[at + LENGTH - 32])
-            whose = np.zeros(n, np.int64)
-            whose[inside] = ids[owner]
-            low = np.full(int(key.max()) + 1, NONE)
-            np.minimum.at(low, key, whose[at])
-            self.least[at] = low[key]
         symbol = np.where(self.left > 0, self.text.astype(np.int16) + 1, 0)
         bwt = symbol[order - 1]
         self.begin = np.flatnonzero(np.concatenate([[True], bwt[1:] != bwt[:-1]]))
@@ -147,12 +161,11 @@ class Index:
         same = (self.text[a] == self.text[b]) & (self.left[a] > 0) & (self.left[b] > 0) & (k < most[:, None])
         return np.where(same.all(1), width, np.argmin(same, axis=1))
 
-    def statistics(self, patterns: list[bytes]):
+    def statistics(self, raw: np.ndarray, size: np.ndarray):
         """Matching statistics of all patterns together, from their ends: yields, for each step,
         (patterns, place in pattern, match length, text position of the match)."""
-        size = np.array([len(p) for p in patterns], np.int64)
         ends = np.cumsum(size)
-        flat = np.frombuffer(b"".join(patterns), np.uint8).astype(np.int64) + 1
+        flat = raw.astype(np.int64) + 1
         row, place, length = (np.zeros(len(size), np.int64) for _ in range(3))
         order = np.argsort(-size, kind="stable")
         sorted_size = -size[order]
@@ -191,64 +204,71 @@ def dense(key: np.ndarray) -> np.ndarray:
     return out
 
 
-def least_ids(pieces: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """For each window of each piece, the least id over all pieces that have its 50 bytes."""
-    index = Index(pieces, ids)
-    size = np.array([max(0, len(p) - LENGTH + 1) for p in pieces], np.int64)
-    starts = np.cumsum(size) - size
-    out = np.full(int(size.sum()), NONE)
-    for who, at, length, place in index.statistics(pieces):
-        hit = length >= LENGTH
-        out[starts[who[hit]] + at[hit]] = index.least[place[hit]]
-    return np.split(out, starts[1:]) if len(pieces) else []
-
-
-def in_slabs(anchors: np.ndarray, pieces: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """least_ids by slabs. Equal windows share an anchor, so anchors are never parted; an anchor with more than
-    four slabs of pieces is cut to single windows, which are dealt by their hash."""
-    out: list = [None] * len(pieces)
-    order = np.argsort(anchors, kind="stable")
-    size = np.array([len(p) for p in pieces], np.int64)[order]
-    edges = np.concatenate([[0], np.flatnonzero(anchors[order][1:] != anchors[order][:-1]) + 1, [len(order)]])
-    mass = np.add.reduceat(size, edges[:-1]) if len(order) else size
-    slab: list[int] = []
-    held = 0
-
-    def close():
-        nonlocal slab, held
-        if slab:
-            for k, x in zip(slab, least_ids([pieces[k] for k in slab], ids[slab]), strict=True):
-                out[k] = x
-        slab, held = [], 0
-
-    for a, b, m in zip(edges[:-1], edges[1:], mass, strict=True):
-        if m > 4 * SLAB:
-            low: dict[bytes, int] = {}
-            for k in order[a:b]:
-                for s in range(len(pieces[k]) - LENGTH + 1):
-                    w = pieces[k][s : s + LENGTH]
-                    low[w] = min(low.get(w, NONE), int(ids[k]))
-            some = sorted(low, key=xxhash.xxh3_64_intdigest)
-            for at in range(0, len(some), SLAB // LENGTH):
-                part = some[at : at + SLAB // LENGTH]
-                low.update(zip(part, (int(x[0]) for x in least_ids(part, np.array([low[w] for w in part]))), strict=True))
-            for k in order[a:b]:
-                out[k] = np.array([low[pieces[k][s : s + LENGTH]] for s in range(len(pieces[k]) - LENGTH + 1)], np.int64)
-            continue
-        if held + m > SLAB:
-            close()
-        slab += order[a:b].tolist()
-        held += int(m)
-    close()
-    return out
+def least_ids(raw: np.ndarray, begin: np.ndarray, size: np.ndarray, place: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each piece, the least id over all pieces that have its 50 bytes: (least ids of
+    all windows, first window of each piece). A piece is ``size`` bytes of ``raw`` from ``begin`` on, its anchor at
+    ``place``; pieces differ."""
+    count = size - LENGTH + 1
+    start = np.cumsum(count) - count
+    piece = np.repeat(np.arange(len(size)), count)
+    least = ids[piece]
+    offset = place[piece] - (np.arange(len(piece)) - start[piece])  # of the anchor in the window
+    words, rest = words_at(raw), np.arange(len(piece))
+    for width in WIDTHS:
+        if not len(rest):
+            break
+        # Parts: a piece's windows of one class; the anchor's place falls from window to window.
+        band, own = offset[rest] // width, piece[rest]
+        edge = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (band[1:] != band[:-1])]))
+        first, last = rest[edge], rest[np.append(edge[1:], len(rest)) - 1]
+        own, low = own[edge], band[edge] * width
+        high = np.minimum(low + width, SPREAD) - 1
+        name = hashes(words, begin[own] + place[own] - low, LENGTH - high + low, LENGTH) ^ low.astype(np.uint64)
+        order = np.lexsort((ids[own], name))
+        new = np.concatenate([[True], name[order][1:] != name[order][:-1]])
+        group, many = np.cumsum(new) - 1, np.diff(np.flatnonzero(np.append(new, True))) > 1
+        stands, others = order[new][many], order[~new]
+        if not len(others):
+            break
+        part = np.cumsum(many)[group[~new]] - 1  # which of ``stands`` stands for the class
+        at, bytes_ = begin[own] + first - start[own], last - first + LENGTH
+        slab = np.cumsum(bytes_[stands]) // SLAB
+        done = np.zeros(len(piece), bool)
+        for k in range(int(slab[-1]) + 1):
+            these = stands[slab == k]
+            if not len(these):
+                continue
+            index = Index(raw[spread(at[these], bytes_[these])], bytes_[these])
+            mine = others[slab[part] == k]
+            turn = np.cumsum(bytes_[mine]) // (4 * SLAB)
+            for t in range(int(turn[-1]) + 1):
+                some = mine[turn == t]
+                if not len(some):
+                    continue
+                for who, where, length, found in index.statistics(raw[spread(at[some], bytes_[some])], bytes_[some]):
+                    hit = length >= LENGTH
+                    if hit.any():
+                        w = first[some[who[hit]]] + where[hit]
+                        least[w] = np.minimum(least[w], ids[own[these[index.owner[found[hit]]]]])
+                        done[w] = True
+        # A window that met nothing may still be like another's that stands for no class.
+        rest = rest[np.isin(np.repeat(np.arange(len(own)), np.diff(np.append(edge, len(rest)))), others)]
+        rest = rest[~done[rest]]
+    return least, start
+
+
+def text_hash():
+    return F.unhex(F.md5(common.body(F.col("text")))).alias("h")
 
 
 def copies(docs: DataFrame) -> DataFrame:
-    """(g, copies): ids, packed, of a group's documents whose whole text a smaller id has too."""
-    mine = exchange.dealt(docs).withColumn("h", F.unhex(F.md5("b"))).where("doc_id is not null").select("g", "doc_id", "h")  # ids and hashes move, texts do not
-    first = mine.groupBy("h").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select(F.col("h").alias("t"), "least")
-    later = mine.join(first, F.col("h") == F.col("t")).where("doc_id > least")
-    return later.groupBy("g").agg(F.collect_list("doc_id").alias("copies")).select((F.col("g") + 0).alias("g"), "copies")
+    """(g, texts, leasts): hashes of a group's texts that a smaller id has too, and that id, packed. Each group has a
+    text once, however many copies it has; ids and hashes move, texts do not."""
+    mine = exchange.dealt(docs, text_hash()).where((F.octet_length("b") >= LENGTH) & F.col("doc_id").isNotNull())
+    each = mine.groupBy("g", "h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
+    first = each.groupBy("h").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select(F.col("h").alias("t"), "least")
+    later = each.join(first, F.col("h") == F.col("t")).where("high > least")
+    return later.groupBy("g").agg(F.collect_list(F.struct("h", "least")).alias("copies")).select((F.col("g") + 0).alias("g"), F.col("copies.h").alias("texts"), F.col("copies.least").alias("leasts"))
 
 
 def member(known: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -258,17 +278,20 @@ def member(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x
 
 
-def told(rows: list[dict]) -> tuple[set[int], list[dict]]:
-    """(ids of whole copies, the other answers) of a group."""
-    return {i for r in rows for i in r["copies"] or []}, [r for r in rows if r["copies"] is None]
+def told(table, got) -> tuple[set[int], list[dict]]:
+    """(places of whole copies among a group's rows, the other answers)."""
+    rows = got.to_pylist()
+    least = {t: i for r in rows if r["texts"] is not None for t, i in zip(r["texts"], r["leasts"], strict=True)}
+    names = zip(table.column("doc_id").to_pylist(), table.column("h").to_pylist(), strict=True) if least else ()
+    return {k for k, (i, t) in enumerate(names) if i is not None and least.get(t, i) < i}, [r for r in rows if r["texts"] is None]
 
 
 def chunks(ids: list, raw: list[bytes], whole: set[int]):
-    """(places of documents, text, ends) for some documents at a time; null ids, short texts and
+    """(places of rows, text, ends) for some documents at a time; null ids, short texts and
     whole copies are left out."""
     some, size = [], 0
     for k, (i, r) in enumerate(zip(ids, raw, strict=True)):
-        if i is not None and len(r) >= LENGTH and i not in whole:
+        if i is not None and len(r) >= LENGTH and k not in whole:
             some.append(k)
             size += len(r)
             if size >= CHUNK:
@@ -286,17 +309,15 @@ def _blobs(rows: list[dict], name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), kind)
 
 
-def piece_keys(anchors: np.ndarray, text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A piece's key: its anchor and all its bytes."""
-    raw = text.tobytes()
-    own = np.fromiter((xxhash.xxh3_64_intdigest(raw[a:b]) for a, b in zip(first.tolist(), (last + LENGTH).tolist(), strict=True)), np.uint64, len(first))
-    return common.mix64(anchors ^ common.mix64(own))
+def piece_keys(text: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A piece's key: all its bytes and its anchor's place."""
+    return hashes(words_at(text), first, last - first + LENGTH, 2 * LENGTH - ANCHOR) ^ place.astype(np.uint64)
 
 
 ASK = "bucket int, g int, keys binary"
 SHARED = "g int, keys binary"
-ASK_PIECES = "bucket int, g int, anchors binary, keys binary, ids binary, sizes binary, raw binary"
-LEAST = "g int, anchors binary, keys binary, windows binary, runs binary, run_ids binary"
+ASK_PIECES = "bucket int, g int, ids binary, sizes binary, places binary, many binary, raw binary"
+LEAST = "g int, keys binary, windows binary, runs binary, run_ids binary"
 TWO = np.uint64(1)
 
 
@@ -306,10 +327,10 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
 
     def ask(table, got):
         ids = table.column("doc_id").to_pylist()
-        whole, _ = told(got.to_pylist())
+        whole, _ = told(table, got)
         found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
-            _, _, h, doc = windows(text, ends)
+            _, _, h, doc, _ = windows(text, ends)
             found[0].append(h | TWO)
             found[1].append(np.array([ids[k] for k in some], np.int64)[doc])
         keys, own = np.concatenate(found[0]), np.concatenate(found[1])
@@ -345,54 +366,70 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
 
 
 def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
-    """For each group, its pieces of shared anchors and the least id of each of their windows, run by run."""
+    """For each group, its pieces that other documents may have and the least id of each of their windows, run by run."""
     n = exchange.partitions(docs)
 
     def ask(table, got):
-        whole, rows = told(got.to_pylist())
+        whole, rows = told(table, got)
         if not rows or not table.num_rows:
             return exchange.table_of(ASK_PIECES, [])
         known = np.sort(_blobs(rows, "keys", "<u8"))
         ids = table.column("doc_id").to_pylist()
-        pieces: dict[int, list] = {}
+        found: list[list[np.ndarray]] = [[] for _ in range(6)]
         for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
-            first, last, h, doc = windows(text, ends)
+            first, last, h, doc, place = windows(text, ends)
             use = member(known, h | TWO)
-            first, last, h, doc = first[use], last[use], h[use] | TWO, doc[use]
-            raw, whose = text.tobytes(), np.array([ids[k] for k in some], np.int64)[doc]
-            for key, anchor, i, a, b in zip(piece_keys(h, text, first, last).tolist(), h.tolist(), whose.tolist(), first.tolist(), (last + LENGTH).tolist(), strict=True):
-                old = pieces.get(key)
-                if old is None:
-                    pieces[key] = [anchor, i, raw[a:b]]
-                elif i < old[1]:
-                    old[1] = i
-        keys = np.fromiter(pieces, np.uint64, len(pieces))
-        anchors, low = (np.fromiter((v[j] for v in pieces.values()), kind, len(pieces)) for j, kind in ((0, np.uint64), (1, np.int64)))
-        raw = [v[2] for v in pieces.values()]
+            first, last, h, place, whose = first[use], last[use], h[use] | TWO, place[use], np.array([ids[k] for k in some], np.int64)[doc[use]]
+            keys = piece_keys(text, first, last, place)
+            order = np.lexsort((whose, keys))
+            at = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else np.zeros(0, np.int64)
+            most = np.maximum.reduceat(whose[order], at) if len(at) else whose
+            at = order[at]
+            size = last[at] - first[at] + LENGTH
+            for x, more in zip(found, (h[at], keys[at], whose[at], most, size << 8 | place[at], text[spread(first[at], size)]), strict=True):
+                x.append(more)
+        if not found[0]:
+            return exchange.table_of(ASK_PIECES, [])
+        h, keys, low, most, size, raw = map(np.concatenate, found)
+        size, place = size >> 8, size & 255
+        begin = np.cumsum(size) - size
+        order = np.lexsort((low, keys))  # a piece of two chunks
+        at = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else order
+        many = np.maximum.reduceat(most[order], at) > low[order][at] if len(at) else np.zeros(0, bool)
+        at = order[at]
         g, out = table.column("g")[0].as_py(), []
-        for k, at in exchange.split(anchors, n):
-            out.append((k, g, anchors[at].tobytes(), keys[at].tobytes(), low[at].tobytes(), bytes(len(raw[x]) for x in at), zstandard.compress(b"".join(raw[x] for x in at), 3)))
+        for k, mine in exchange.split(h[at], n):
+            one = at[mine]
+            blob = raw[spread(begin[one], size[one])].tobytes()
+            out.append((k, g, low[one].tobytes(), size[one].astype(np.uint8).tobytes(), place[one].astype(np.uint8).tobytes(), many[mine].tobytes(), zstandard.compress(blob, 3)))
         return exchange.table_of(ASK_PIECES, list(zip(*out, strict=True)))
 
     def answer(rows):
-        keys, anchors, ids, size = (_blobs(rows, x, k) for x, k in (("keys", "<u8"), ("anchors", "<u8"), ("ids", "<i8"), ("sizes", "u1")))
-        raw, ends = b"".join(zstandard.decompress(r["raw"]) for r in rows), np.cumsum(size.astype(np.int64))
-        every, place, back = np.unique(keys, return_index=True, return_inverse=True)
+        ids, size, place, many = (_blobs(rows, x, k) for x, k in (("ids", "<i8"), ("sizes", "u1"), ("places", "u1"), ("many", "u1")))
+        size, place = size.astype(np.int64), place.astype(np.int64)
+        raw = np.frombuffer(b"".join(zstandard.decompress(r["raw"]) for r in rows), np.uint8)
+        begin = np.cumsum(size) - size
+        keys = piece_keys(raw, begin, begin + size - LENGTH, place)
+        every, one, back = np.unique(keys, return_index=True, return_inverse=True)
         low = np.full(len(every), NONE)
         np.minimum.at(low, back, ids)
-        pieces = [raw[ends[k] - size[k] : ends[k]] for k in place]
-        found = in_slabs(anchors[place], pieces, low)
+        least, start = least_ids(raw, begin[one], size[one], place[one], low)
+        count = size[one] - LENGTH + 1
+        # An answer that removes nothing in its group is not sent.
+        tells = (many > 0) | (np.minimum.reduceat(least, start)[back] < ids if len(start) else False)
         at = 0
         for r in rows:
-            n = len(r["keys"]) // 8
-            mine = [found[k] for k in back[at : at + n]]
+            n = len(r["sizes"])
+            mine = back[at : at + n][tells[at : at + n]]
             at += n
-            flat, count = np.concatenate(mine), np.array([len(x) for x in mine], np.int64)
+            if not len(mine):
+                continue
+            flat = least[spread(start[mine], count[mine])]
             edge = np.zeros(len(flat), bool)
-            edge[np.cumsum(count) - count] = True
+            edge[np.cumsum(count[mine]) - count[mine]] = True
             edge[1:] |= flat[1:] != flat[:-1]
-            start = np.flatnonzero(edge)
-            yield r["g"], r["anchors"], r["keys"], count.astype(np.uint8).tobytes(), np.diff(start, append=len(flat)).astype(np.uint8).tobytes(), flat[start].tobytes()
+            runs = np.flatnonzero(edge)
+            yield r["g"], every[mine].tobytes(), count[mine].astype(np.uint8).tobytes(), np.diff(runs, append=len(flat)).astype(np.uint8).tobytes(), flat[runs].tobytes()
 
     return exchange.per_bucket(exchange.per_group_with(docs, shared, ASK_PIECES, ask), LEAST, answer)
 
@@ -404,29 +441,27 @@ def marked(docs: DataFrame, least: DataFrame) -> DataFrame:
     """Each document with its removed spans and what is left."""
 
     def each(table, got):
-        whole, rows = told(got.to_pylist())
+        whole, rows = told(table, got)
         ids, raw = table.column("doc_id").to_pylist(), table.column("b").to_pylist()
         spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         if rows and len(ids):
-            anchors, keys, runs, run_ids = (_blobs(rows, x, k) for x, k in (("anchors", "<u8"), ("keys", "<u8"), ("runs", "u1"), ("run_ids", "<i8")))
-            known = np.unique(anchors)
+            keys, runs, run_ids = (_blobs(rows, x, k) for x, k in (("keys", "<u8"), ("runs", "u1"), ("run_ids", "<i8")))
             order = np.argsort(keys)
             ordered = keys[order]
             flat = np.repeat(run_ids, runs)
             count = _blobs(rows, "windows", "u1").astype(np.int64)
             starts = np.cumsum(count) - count
             for some, text, ends in chunks(ids, raw, whole):
-                first, last, h, doc = windows(text, ends)
-                use = member(known, h | TWO)
-                first, last, h, doc = first[use], last[use], h[use] | TWO, doc[use]
-                if not len(first):
-                    continue
-                at = order[np.searchsorted(ordered, piece_keys(h, text, first, last))]
-                spans.update(_spans(some, ends, first, last, doc, np.array([ids[k] for k in some], np.int64), flat, at, starts))
+                first, last, _, doc, place = windows(text, ends)
+                mine = piece_keys(text, first, last, place)
+                use = member(ordered, mine)
+                if use.any():
+                    at = order[np.searchsorted(ordered, mine[use])]
+                    spans.update(_spans(some, ends, first[use], last[use], doc[use], np.array([ids[k] for k in some], np.int64), flat, at, starts))
         out = []
         for k, (i, r) in enumerate(zip(ids, raw, strict=True)):
             a, b = spans.get(k, (np.zeros(0, np.int64),) * 2)
-            if i in whole and len(r) >= LENGTH:
+            if k in whole:
                 a, b = np.array([0]), np.array([len(r)])
             left = b"".join(r[x:y] for x, y in zip([0, *b.tolist()], [*a.tolist(), len(r)], strict=True)) if len(a) else r
             out.append((i, len(r), len(r) - len(left), len(a), left, a.astype("<i8").tobytes(), b.astype("<i8").tobytes()))
@@ -438,9 +473,8 @@ def marked(docs: DataFrame, least: DataFrame) -> DataFrame:
 def _spans(some, ends, first, last, doc, ids, flat, at, starts) -> dict:
     """Maximal runs of bytes under windows whose least id is smaller than the document's."""
     count = last - first + 1
-    each = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    low = flat[np.repeat(starts[at], count) + each]
-    where, whose = np.repeat(first, count) + each, np.repeat(doc, count)
+    low = flat[spread(starts[at], count)]
+    where, whose = spread(first, count), np.repeat(doc, count)
     bad = low < ids[whose]
     where, whose = where[bad], whose[bad]
     if not len(where):
@@ -450,16 +484,14 @@ def _spans(some, ends, first, last, doc, ids, flat, at, starts) -> dict:
     stop = np.concatenate([begin[1:], [len(where)]]) - 1
     base = np.concatenate([[0], ends[:-1]])[whose[begin]]
     a, b, owner = where[begin] - base, where[stop] + LENGTH - base, whose[begin]
-    out = {}
-    for d in np.unique(owner):
-        out[some[d]] = (a[owner == d], b[owner == d])
-    return out
+    every, at = np.unique(owner, return_index=True)
+    return {some[d]: x for d, x in zip(every.tolist(), zip(np.split(a, at[1:]), np.split(b, at[1:]), strict=True), strict=True)}
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """REMOVED rows for every row of ``docs`` (doc_id, text)."""
     common.prepare(docs.sparkSession)
-    mine = exchange.grouped(docs)
+    mine = exchange.grouped(docs, text_hash())
     same = copies(docs)
     shared = shared_anchors(mine, same).unionByName(same, allowMissingColumns=True)
     least = least_of_windows(mine, shared)
