@@ -56,20 +56,20 @@ def test_simhash(spark, folder):
         return sum(1 << b for b in range(64) if sum(x >> b & 1 for x in h) * 2 > len(h))
 
     fps = [(i, brute(t)) for i, t in rows]
-    links = {i: {j for j, g in fps if j is not None and (f ^ g).bit_count() <= 2} for i, f in fps if i is not None}
+    links = {k: {m for m, (j, g) in enumerate(fps) if j is not None and (f ^ g).bit_count() <= 2} for k, (i, f) in enumerate(fps) if i is not None}
 
-    def least(i):
-        seen, todo = {i}, [i]
+    def least(k):
+        seen, todo = {k}, [k]
         while todo:
             for j in links[todo.pop()] - seen:
                 seen.add(j)
                 todo.append(j)
-        return min(seen)
+        return min(fps[j][0] for j in seen)
 
     got = simhash.op2_simhash(spark, folder).collect()
-    want = Counter((i, f"{f:016x}") for i, f in fps)
-    assert Counter((r["doc_id"], r["fingerprint"]) for r in got) == want
-    assert all(r["component_id"] == least(r["doc_id"]) for r in got if r["doc_id"] is not None)
+    want = Counter((i, f"{f:016x}", least(k)) for k, (i, f) in enumerate(fps) if i is not None)
+    assert Counter(tuple(r)[:3] for r in got if r["doc_id"] is not None) == want
+    assert [r["fingerprint"] for r in got if r["doc_id"] is None] == [f"{f:016x}" for i, f in fps if i is None]
 
 
 def test_simhash_finds_every_close_pair():
@@ -294,14 +294,77 @@ def test_token_ids(spark, folder):
     assert ids == sorted(ids)
 
 
+def one_by_one(data: bytes, block: int) -> list[int]:
+    """IMA ADPCM, nibble by nibble."""
+    out = []
+    for b in range(len(data) // block):
+        part = data[b * block : (b + 1) * block]
+        value, index = int.from_bytes(part[:2], "little", signed=True), min(part[2], 88)
+        out.append(value)
+        for byte in part[4:]:
+            for code in (byte & 15, byte >> 4):
+                step = media.QUANTISER[index]
+                change = (step >> 3) + (step >> 2) * (code & 1) + (step >> 1) * (code >> 1 & 1) + step * (code >> 2 & 1)
+                value = max(-32768, min(32767, value - change if code & 8 else value + change))
+                index = max(0, min(88, index + media.INDEX_STEPS[code & 7]))
+                out.append(value)
+    return out
+
+
+def expanded(law: int, byte: int) -> int:
+    """One companded sample, by the definition of its law."""
+    if law == media.ULAW:
+        byte ^= 0xFF
+        size = (((byte & 15) * 2 + 33) << (byte >> 4 & 7)) - 33
+        return -4 * size if byte & 128 else 4 * size
+    byte ^= 0x55
+    exponent, low = byte >> 4 & 7, byte & 15
+    size = low * 2 + 1 if not exponent else (low * 2 + 33) << exponent - 1
+    return 8 * size if byte & 128 else -8 * size
+
+
+def test_companding_tables():
+    for law, table in media.TABLES.items():
+        assert [expanded(law, k) for k in range(256)] == table.tolist()
+
+
 def test_media(spark, folder):
-    for r in media.op8_media(spark, folder).collect():
-        t = next(((x or "").encode() for i, x in docs(spark, folder) if i == r["doc_id"]))
-        payload = t + b"\xff" * (max(1, -(-len(t) // 576)) * 576 - len(t))
-        assert (r["n_bytes"], r["payload_bytes"], r["payload_sha256"], r["tail_crc32"]) == (len(t), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
-    assert media.TABLES[media.ULAW][[0, 127, 128, 255]].tolist() == [-32124, 0, 32124, 0]
-    assert media.TABLES[media.ALAW][[0xD5, 0x55, 0x2A, 0xAA]].tolist() == [8, -8, -32256, 32256]
-    assert media.parse_wav(b"junk") is None and media.parse_wav(None) is None
+    want, laws = Counter(), set()
+    for i, t in docs(spark, folder):
+        raw = (t or "").encode()
+        payload = raw + b"\xff" * (max(1, -(-len(raw) // 576)) * 576 - len(raw))
+        law = (media.ULAW, media.ALAW, media.ADPCM)[zlib.crc32(payload) % 3]
+        laws.add(law)
+        pcm = one_by_one(payload, media.BLOCK) if law == media.ADPCM else [expanded(law, x) for x in payload]
+        twice = [x for a, b in zip(pcm, [*pcm[1:], pcm[-1]], strict=True) for x in (a, (a + b) // 2)]
+        crossings = sum((a < 0) != (b < 0) for a, b in zip(twice, twice[1:]))
+        crc = zlib.crc32(b"".join(x.to_bytes(2, "little", signed=True) for x in twice))
+        feature = f"{len(twice)}:{max(map(abs, twice))}:{sum(x * x for x in twice) // len(twice)}:{crossings}:{crc}"
+        file = media.wav(payload, law, block=media.BLOCK)
+        want[(i, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(file), hashlib.sha256(file).hexdigest(), feature)] += 1
+    assert Counter(map(tuple, media.op8_media(spark, folder).collect())) == want and len(laws) == 3
+
+
+def test_stored_pcm(spark, tmp_path):
+    data = bytes(range(256)) * 3
+    files = [(law, media.wav(data, law, rate, 64)) for law in (media.PCM, media.ALAW, media.ULAW, media.ADPCM) for rate in (8000, 16000, 11025, 48000)]
+    good = media.wav(data, media.ADPCM, 8000, 64)
+    fmt = good.index(b"fmt ") + 8
+    change = lambda raw, at, x: raw[: fmt + at] + x + raw[fmt + at + len(x) :]
+    bad = [None, b"", b"RIFF", good[:30], *(change(good, 12, bytes([b, 0])) for b in (0, 1, 2, 3, 4)), change(good, 4, b"\0\0\0\0"), change(good, 2, b"\2\0"), change(good, 0, b"\x63\0"), change(files[0][1], 14, b"\x08\0")]
+    rows = [(k, raw, "x") for k, (_, raw) in enumerate(files)] + [(100 + k, raw, None) for k, raw in enumerate(bad)] + [(None, media.wav(b"", media.PCM), "x")]
+    media.store_pcm(spark.createDataFrame(rows, "doc_id long, media binary, pcm string"), f"{tmp_path}/pcm")
+    got = {r["doc_id"]: r for r in spark.read.parquet(f"{tmp_path}/pcm").collect()}
+    assert all(got[100 + k]["pcm"] is None and got[100 + k]["rate"] is None for k in range(len(bad))) and got[None]["pcm"] == b""
+    for k, (law, raw) in enumerate(files):
+        own = int.from_bytes(raw[24:28], "little")
+        pcm = one_by_one(data, 64) if law == media.ADPCM else [expanded(law, x) for x in data] if law != media.PCM else np.frombuffer(data, "<i2").tolist()
+        n = len(pcm) * 16000 // own
+        want = []
+        for m in range(n):
+            at, part = divmod(m * own, 16000)
+            want.append((pcm[at] * (16000 - part) + pcm[min(at + 1, len(pcm) - 1)] * part) // 16000)
+        assert np.frombuffer(got[k]["pcm"], "<i2").tolist() == want and got[k]["rate"] == 16000
 
 
 def test_adpcm_blocks_against_one_by_one():
@@ -349,7 +412,7 @@ def test_secrets():
 def test_mixing_meets_targets(spark):
     rng = np.random.default_rng(3)
     rows = [(i, int(rng.integers(5, 400)), (lambda p: [float(p), float(1 - p)])(rng.random())) for i in range(400)]
-    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>")
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>").selectExpr("struct(doc_id) row", "n_tokens", "p")
     out, found = mixing.rates(members, 2, np.array([0.7, 0.3]))
     got = out.collect()
     reached = sum(r["rate"] * r["n_tokens"] * np.array(r["p"]) for r in got)
@@ -357,6 +420,283 @@ def test_mixing_meets_targets(spark):
     assert np.allclose(reached / total, [0.7, 0.3], atol=1e-4) and min(r["rate"] for r in got) >= 0
 
 
+def test_similar_texts_of_one_id(spark):
+    rng = random.Random(3)
+    make = lambda: [f"{rng.choice(WORDS)}{rng.randint(0, 999)}" for _ in range(200)]
+    a, b = make(), make()
+    rows = [(1, " ".join(a)), (2, " ".join([*a, "x"])), (2, " ".join(b)), (2, " ".join(b)), (4, " ".join(["y", *b])), (1, " ".join([*a, "z"])), (None, " ".join(a)), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = Counter(map(tuple, simhash.alike(df).collect()))
+    assert got == Counter([(1, 1), (1, 1), (2, 1), (2, 2), (2, 2), (4, 2)])
+    kept = Counter(map(tuple, simhash.one_of_each(df).collect()))
+    assert sum(n for (i, _), n in kept.items() if i == 1) == 1  # one text of the group
+    assert {k: n for k, n in kept.items() if k[0] != 1} == {rows[2]: 2, rows[6]: 1, rows[7]: 1}
+
+
+def test_recall_of_near_copies(spark):
+    """Pairs around a similarity of 0.8, against their shingle sets; 0.9 of the links at least, and no false one."""
+    rng, rows, sets = random.Random(5), [], {}
+    for k in range(150):
+        words = [f"{rng.choice(WORDS)}{rng.randint(0, 9999)}" for _ in range(rng.choice([40, 150, 600]))]
+        other = list(words)
+        for _ in range(max(1, round(len(words) * rng.uniform(0.005, 0.035)))):
+            other[rng.randrange(len(other))] = "changed"
+        for i, w in ((2 * k, words), (2 * k + 1, other)):
+            rows.append((i, " ".join(w)))
+            sets[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    got = dict(map(tuple, simhash.alike(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    near = [k for k in range(150) if 5 * len(sets[2 * k] & sets[2 * k + 1]) >= 4 * len(sets[2 * k] | sets[2 * k + 1])]
+    assert 40 < len(near) < 140
+    assert sum(got[2 * k + 1] == 2 * k for k in near) >= 0.9 * len(near)
+    assert all(got[2 * k + 1] == 2 * k + 1 for k in set(range(150)) - set(near))
+
+
+def brute_tiles(doc, item, least=decontaminate.SEED):
+    """Greedy string tiling by comparing every place with every other."""
+    least, marked, total = min(least, len(item)), (set(), set()), 0
+    while least:
+        best, found = 0, []
+        for j in range(len(doc)):
+            for i in range(len(item)):
+                n = 0
+                while j + n < len(doc) and i + n < len(item) and doc[j + n] == item[i + n] and j + n not in marked[0] and i + n not in marked[1]:
+                    n += 1
+                if n >= max(best, least):
+                    found = found if n == best else []
+                    best = n
+                    found.append((j, i))
+        if not found:
+            break
+        for j, i in found:
+            if not any(j + k in marked[0] or i + k in marked[1] for k in range(best)):
+                marked[0].update(range(j, j + best))
+                marked[1].update(range(i, i + best))
+                total += best
+    return total
+
+
+def test_decontaminate_against_brute_force(spark, folder):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()]
+    want = Counter()
+    for i, t in docs(spark, folder):
+        for k, x in items:
+            a, b = decontaminate.tokens(t), decontaminate.tokens(x)
+            n = brute_tiles(a, b) if b and set(a) & set(b) else 0
+            if b and n >= decontaminate.COVERAGE * len(b):
+                want[(i, k, len(b), n)] += 1
+    got = Counter((r["doc_id"], r["item_id"], r["item_tokens"], r["covered"]) for r in decontaminate.op6_decontaminate(spark, folder).collect())
+    assert got == want and want
+
+
+def test_tiling_of_repeated_tokens(monkeypatch):
+    rng = np.random.default_rng(2)
+    for seeds in (1, 1 << 20):
+        monkeypatch.setattr(decontaminate, "SEEDS", seeds)
+        for _ in range(60):
+            doc, item = rng.integers(0, 2, rng.integers(0, 40)), rng.integers(0, 2, rng.integers(0, 25))
+            assert sum(n for *_, n in decontaminate.tile(doc, item)) == brute_tiles(doc.tolist(), item.tolist())
+    monkeypatch.undo()
+    assert sum(n for *_, n in decontaminate.tile(np.zeros(20000, np.int64), np.zeros(1000, np.int64))) == 1000
+
+
+def test_language_against_brute_force(spark, folder):
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    base = np.random.default_rng(20).choice(np.array([-1, 1]), (language.CLASSES, language.WIDTH))
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 4 == 2
+
+    def vector(text):
+        cls = [0]
+        for ch in (text or "").lower():
+            c = 0 if not ch.isalpha() else ord(ch) - 96 if "a" <= ch <= "z" else 27 + ord(ch) * language.SPREAD % 21
+            if c or cls[-1]:
+                cls.append(c)
+        cls += [0] if cls[-1] else []
+        total = sum((np.roll(base[a], 2) * np.roll(base[b], 1) * base[c] for a, b, c in zip(cls, cls[1:], cls[2:])), np.zeros(language.WIDTH))
+        return total / np.linalg.norm(total) if total.any() else None
+
+    names = sorted({lang for _, _, lang in rows if lang})
+    sums = {n: sum(v for i, t, lang in rows if lang == n and not held(i) and (v := vector(t)) is not None) for n in names}
+    unit = np.stack([sums[n] / np.linalg.norm(sums[n]) for n in names])
+    centre = unit - unit.mean(0)
+    centre /= np.linalg.norm(centre, axis=1, keepdims=True)
+    got = Counter((r["doc_id"], r["held_out"], r["lang_pred"], round(r["score"], 3)) for r in language.op4_language(spark, folder).collect())
+    want = Counter()
+    for i, t, _ in rows:
+        v = vector(t)
+        if v is None:
+            want[(i, held(i), "und", 0.0)] += 1
+            continue
+        cos = centre @ (v - unit.mean(0)) / np.linalg.norm(v - unit.mean(0))
+        want[(i, held(i), names[int(cos.argmax())], round(float((1 + cos.max()) / 2), 3))] += 1
+    assert got == want
+
+
+def test_letters_spread_over_classes():
+    for a, b in (("а", "я"), ("α", "ω"), ("ا", "ي"), ("à", "ÿ"), ("一", "丿")):
+        assert len({int(language.table()[c]) for c in range(ord(a), ord(b) + 1)} - {0}) >= min(12, ord(b) - ord(a))
+
+
+@pytest.mark.skipif(not __import__("os").path.exists("/root/testdata/sf0.01"), reason="needs the test tables")
+def test_held_out_accuracy(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: r["lang"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect() if r["lang"]}
+    got = [(r["doc_id"], r["lang_pred"]) for r in language.op4_language(spark, sf).collect() if r["held_out"] and r["doc_id"] in truth]
+    assert sum(truth[i] == p for i, p in got) >= 0.95 * len(got) > 50
+
+
+def test_toxicity_scores_against_brute_force(spark, folder):
+    labels = {}
+    for r in spark.read.parquet(f"{folder}/labels.parquet").collect():
+        if r["doc_id"] is not None and r["toxic"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 != 0:
+            labels[r["doc_id"]] = max(r["toxic"], labels.get(r["doc_id"], 0))
+    rows = sorted(((i, t or "") for i, t in docs(spark, folder) if i in labels))
+    model = toxicity.train([t for _, t in rows], [labels[i] for i, _ in rows])
+
+    def word(w):
+        w, ids = b"<" + w + b">", []
+        for n in (3, 4, 5):
+            for k in range(len(w) - n + 1):
+                h = 0
+                for c in w[k : k + n]:
+                    h = (h * 1099511628211 + c + 1) % 2**64
+                ids.append(int(common_mix(h + n)) % toxicity.BUCKETS)
+        return float(np.mean(model["table"].astype(float)[ids]))
+
+    def brute(t):
+        ws = [word(w) for w in (t or "").encode().lower().split()]
+        tops = [np.mean(ws[k : k + 3]) for k in range(max(1, len(ws) - 2))] if ws else [0.0]
+        return 1 / (1 + np.exp(-np.clip(max(tops) + model["bias"] - model["border"], -60, 60)))
+
+    got = sorted((r["doc_id"] is None, r["doc_id"], r["held_out"], round(r["score"], 6), r["predicted"]) for r in toxicity.op9_toxicity(spark, folder).collect())
+    some = [(i, t) for i, t in docs(spark, folder)]
+    want = sorted((i is None, i, i is not None and zlib.crc32(str(i).encode()) % 5 == 0, round(brute(t), 6), int(brute(t) >= 0.5)) for i, t in some if len(t or "") < 5000)
+    long = {i for i, t in some if len(t or "") >= 5000}
+    assert [g for g in got if g[1] not in long] == want
+
+
+def common_mix(x):
+    from tickloom.llm.common import mix64
+
+    return mix64(np.array([x % 2**64], np.uint64))[0]
+
+
+def brute_spans(text):
+    """Base spans of the contract, character by character."""
+    word, value = "abcdefghijklmnopqrstuvwxyz", "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_.=-"
+    low = "".join(c.lower() if c.lower() in word and ord(c) < 128 else c for c in text)
+    found, at = [], 0
+    while at < len(text):
+        stop = 0
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if low.startswith(name, at):
+                k = at + len(name)
+                for step in ("q", " ", "=", " ", "q"):
+                    if step == " ":
+                        while text[k : k + 1] == " ":
+                            k += 1
+                    elif step == "q":
+                        k += text[k : k + 1] in ("'", '"') and bool(text[k : k + 1])
+                    elif text[k : k + 1] and text[k] in ":=":
+                        k += 1
+                    else:
+                        k = None
+                        break
+                if k is None:
+                    continue
+                end = k
+                while end < len(text) and text[end] in value:
+                    end += 1
+                if end > k:
+                    stop = end
+                    if end - k >= 6:
+                        found.append((at, 0, end))
+                    break
+        at = stop or at + 1
+    for kind, start, alphabet, least in ((1, "AKIA", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 20), (2, "", "0123456789abcdef", 24)):
+        at = 0
+        while at < len(text):
+            end = at + len(start)
+            while text.startswith(start, at) and end < len(text) and text[end] in alphabet:
+                end += 1
+            if text.startswith(start, at) and end > at + len(start):
+                if end - at >= least:
+                    found.append((at, kind, end))
+                at = end
+            else:
+                at += 1
+    return sorted(found)
+
+
+def test_secrets_against_brute_force(spark, tmp_path):
+    rng = random.Random(6)
+    bits = ["password", "Token", "api_key", "APIKEY", "secret", "=", ":", " ", "'", '"', "abc123", "AKIA", "ABCDEFGH12345678ZZ", "deadbeef", "0123456789ab", "é", ".", "\n", "-_/+", "q9Zk3LmP0xVt7Rw2"]
+    rows = [(i, "".join(rng.choice(bits) for _ in range(rng.randint(0, 25)))) for i in range(400)] + [(None, None), (3, ""), (3, "AKIA" + "B" * 5000)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got, want = Counter(), Counter()
+    for r in secrets.op10_secrets(spark, str(tmp_path)).collect():
+        got[(r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"])] += 1
+        every = [x.split(":") for x in r["spans"].split(",") if x]
+        base = [x for x in every if x[0] != "markov"]
+        assert hashlib.sha256(",".join(":".join(x) for x in base).encode()).hexdigest() == r["base_sha256"]
+        assert all(int(a[2]) <= int(b[1]) or int(b[2]) <= int(a[1]) for a in every for b in base if a[0] == "markov")
+    for i, t in rows:
+        spans = brute_spans(t or "")
+        text = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in spans)
+        want[(i, *(sum(k == n for _, k, _ in spans) for n in range(3)), hashlib.sha256(text.encode()).hexdigest())] += 1
+    assert got == want
+
+
+def test_mixing_against_a_dense_solver(spark, folder):
+    """Rates of the query: the same as dense projected gradient steps in small strides give, in totals; posteriors by naive Bayes."""
+    got = mixing.op1_mixing(spark, folder).collect()
+    assert len(got) == len(docs(spark, folder))
+    p = np.array([[float(x) for x in r["posterior"].split(",")] for r in got])
+    t = np.array([r["n_tokens"] for r in got], float)
+    assert sorted(t) == sorted(len((x or "").encode().lower().split()) for _, x in docs(spark, folder)) and np.allclose(p.sum(1), 1, atol=1e-5)
+    a, r = t[:, None] * p, np.ones(len(t))
+    now = a.sum(0)
+    target = now**mixing.TEMPER / (now**mixing.TEMPER).sum() * now.sum()
+    for _ in range(200000):
+        step = a @ (a.T @ r - target)
+        r = np.maximum(0, r - step / (a * a).sum())
+        if np.abs(a.T @ r - target).max() < 1e-6 * now.sum():
+            break
+    rate = np.array([x["rate"] for x in got])
+    assert np.allclose(a.T @ rate, a.T @ r, rtol=1e-3) and np.allclose(a.T @ rate, target, rtol=1e-3)
+    assert all(x["copies"] in (int(x["rate"]), int(x["rate"]) + 1) for x in got) and (rate >= 0).all()
+
+
+def test_mixing_with_a_floor(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, int(rng.integers(5, 400)), (lambda p: [float(p), float(1 - p)])(rng.beta(20, 3.3))) for i in range(3000)]
+    members = spark.createDataFrame(rows, "doc_id long, n_tokens long, p array<double>").selectExpr("struct(doc_id) row", "n_tokens", "p")
+    out, found = mixing.rates(members, 2, floor=1.0)
+    got = out.collect()
+    reached = sum(r["rate"] * r["n_tokens"] * np.array(r["p"]) for r in got)
+    assert found["rounds"] < 12 and np.allclose(reached / reached.sum(), found["weights"], rtol=1e-4) and min(r["rate"] for r in got) >= 1
+    with pytest.warns(UserWarning, match="off their targets"):
+        assert mixing.rates(members, 2, np.array([0.0, 1.0]))[1]["off"] > 1e-3  # no rates give one domain alone
+
+
+def test_filters_judge_rows(spark, folder):
+    """Rows of one id, rows without an id and repeated rows: each judged by its text, columns and types unchanged."""
+    everything = spark.read.parquet(f"{folder}/documents.parquet")
+    bad = next(t for i, t in docs(spark, folder) if i == 3)
+    both = everything.unionByName(spark.createDataFrame([(0, bad, None, "s", 1, "x", "y"), (None, bad, None, "s", 1, "x", "y")], everything.schema))
+    out = decontaminate.decontaminated(both, spark.read.parquet(f"{folder}/benchmark.parquet"))
+    assert out.schema == both.schema
+    assert Counter(map(tuple, out.collect())) == Counter(tuple(r) for r in both.collect() if bad not in (r["text"] or ""))
+    kept = toxicity.accepted(spark, both, folder)
+    model = toxicity.fit(both, spark.read.parquet(f"{folder}/labels.parquet").where(~toxicity.held(__import__("pyspark").sql.functions.col("doc_id"))))
+    fine = {r["text"]: toxicity.Scorer(model).scores([(r["text"] or "").encode()])[0] < 0.5 for r in both.collect()}
+    assert Counter(map(tuple, kept.collect())) == Counter(tuple(r) for r in both.collect() if fine[r["text"]])
+    more = mixing.mixed(spark, both, folder, floor=1.0)
+    assert more.schema == both.schema
+    times, before = Counter(map(tuple, more.collect())), Counter(map(tuple, both.collect()))
+    assert set(times) == set(before) and all(times[k] >= n for k, n in before.items()) and all(times[k] == n for k, n in before.items() if k[0] is None)
+
+
+@pytest.mark.filterwarnings("error:overflow")
 def test_empty_tables_and_pipeline(spark, folder, empty):
     import corpus_pipeline
     from tickloom.llm.queries import QUERIES

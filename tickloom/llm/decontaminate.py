@@ -29,6 +29,8 @@ from tickloom.llm import common
 
 SEED, COVERAGE = 5, 0.8
 BLOCK_BYTES = 8 << 20
+#: Pairs of seeds that a document and an item may have before longer seeds go first.
+SEEDS = 1 << 20
 TOKEN = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x100000001B3)
 
@@ -51,20 +53,43 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
 
 def tile(doc: np.ndarray, item: np.ndarray, seed: int = SEED) -> list[tuple[int, int, int]]:
     """Greedy string tiling: (place in document, place in item, length) of each tile."""
-    n = min(seed, len(item))
-    if not n or len(doc) < n:
-        return []
-    doc_hash, item_hash = rolling(doc, n), rolling(item, n)
+    least = min(seed, len(item))
+    doc_free, item_free, found = np.ones(len(doc), bool), np.ones(len(item), bool), []
+    if not least or len(doc) < least:
+        return found
+    # Where few tokens repeat very often, long matches go first: they leave little to seed the short ones.
+    n = least
+    while n < min(len(item), len(doc)) and _seeds(doc, item, doc_free, item_free, n)[1].sum() > SEEDS:
+        n = min(2 * n, len(item), len(doc))
+    while True:
+        found += _tiles(doc, item, doc_free, item_free, n)
+        if n == least:
+            return found
+        n = max(least, n // 2)
+
+
+def _seeds(doc, item, doc_free, item_free, n) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(first place among ``order``, how many places, by place in the document; places in the item by hash; places in the
+    document) of runs of n free tokens with equal hashes."""
+    taken = (np.concatenate([[0], np.cumsum(~free)]) for free in (doc_free, item_free))
+    j, i = (np.flatnonzero(t[n:] == t[:-n]) for t in taken)
+    doc_hash, item_hash = rolling(doc, n)[j], rolling(item, n)[i]
     order = np.argsort(item_hash, kind="stable")
     low = np.searchsorted(item_hash[order], doc_hash, "left")
-    high = np.searchsorted(item_hash[order], doc_hash, "right")
-    j = np.repeat(np.arange(len(doc_hash)), high - low)
+    return low, np.searchsorted(item_hash[order], doc_hash, "right") - low, i[order], j
+
+
+def _tiles(doc, item, doc_free, item_free, n) -> list[tuple[int, int, int]]:
+    """Tiles of n or more free tokens, the longest first; marks them."""
+    low, many, order, place = _seeds(doc, item, doc_free, item_free, n)
+    j = np.repeat(place, many)
     if not len(j):
         return []
-    i = order[np.repeat(low, high - low) + np.arange(len(j)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)]
-    same = np.all(doc[j[:, None] + np.arange(n)] == item[i[:, None] + np.arange(n)], axis=1)
-    i, j = i[same], j[same]
-    doc_free, item_free, found = np.ones(len(doc), bool), np.ones(len(item), bool), []
+    i = order[np.repeat(low - np.cumsum(many) + many, many) + np.arange(len(j))]
+    for k in range(n):  # equal hashes, token by token
+        same = doc[j + k] == item[i + k]
+        i, j = i[same], j[same]
+    found = []
     while len(i):
         order = np.lexsort((j, j - i))
         i, j = i[order], j[order]
@@ -119,35 +144,41 @@ SCHEMA = "doc_id long, item_id long, item_tokens long, covered long, n_tiles lon
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Every (document, item) pair that shares a seed, with its coverage."""
     spark = common.prepare(docs.sparkSession)
-    total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = int(total // BLOCK_BYTES) + 1
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-    def one(k: int) -> DataFrame:
-        part = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k)
-        shared = spark.sparkContext.broadcast(build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]))
-
+    def one(shared) -> DataFrame:
         def start():
             index = shared.value
-            known = index["vocabulary"]
 
             def step(batch):
-                rows = []
-                for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                    doc = np.array([known.get(t, -1) for t in tokens(text)], np.int64)
-                    for k in candidates(index, doc):
-                        item = index["numbers"][k]
-                        tiles = tile(doc, item)
-                        if tiles:
-                            covered = sum(n for _, _, n in tiles)
-                            rows.append((key, index["ids"][k], len(item), covered, len(tiles), covered / len(item)))
+                rows = [(key, *row) for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for row in covered(index, text)]
                 return list(map(list, zip(*rows, strict=True))) if rows else None
 
             return step
 
         return common.mapped(mine, SCHEMA, start)
 
-    return reduce(DataFrame.unionByName, [one(k) for k in range(blocks)])
+    return reduce(DataFrame.unionByName, map(one, blocks(spark, benchmark)))
+
+
+def blocks(spark: SparkSession, benchmark: DataFrame):
+    """The benchmark's blocks, built and broadcast one by one."""
+    n = int((benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // BLOCK_BYTES) + 1
+    for k in range(n):
+        part = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+        yield spark.sparkContext.broadcast(build([(r[0], r[1]) for r in part.orderBy("item_id", "text").collect()]))
+
+
+def covered(index: dict, text: str | None):
+    """(item_id, item_tokens, covered, n_tiles, coverage) for each item that shares a seed with a text."""
+    known = index["vocabulary"]
+    doc = np.array([known.get(t, -1) for t in tokens(text)], np.int64)
+    for k in candidates(index, doc):
+        item = index["numbers"][k]
+        tiles = tile(doc, item)
+        if tiles:
+            n = sum(n for _, _, n in tiles)
+            yield index["ids"][k], len(item), n, len(tiles), n / len(item)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -155,9 +186,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
-    """``docs`` without contaminated documents; columns unchanged. Rows with a null id stay."""
-    bad = contaminated(docs, benchmark, coverage).where("doc_id is not null").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["__drop"], "left_anti")
+    """``docs`` without contaminated documents; columns unchanged. Each row is judged by its own text."""
+    spark = common.prepare(docs.sparkSession)
+    for shared in blocks(spark, benchmark):
+
+        def start(shared=shared):
+            index = shared.value
+            return lambda texts: [not any(row[-1] >= coverage for row in covered(index, t)) for t in texts]
+
+        docs = common.filtered(docs, start)
+    return docs
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,12 +33,14 @@ def components(edges: DataFrame) -> DataFrame:
     Loops and repeated edges are harmless; rows with a null end are ignored. The edge table is written to the shared folder each
     round, so lineage stays short; only a count and a checksum reach the driver.
     """
-    now = common.stored(edges.where("a <> b").select("a", "b").distinct(), "edges")
+    now, at = common.stored_at(edges.where("a <> b").select("a", "b").distinct(), "edges")
     seen = None
     while True:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if mark == seen or not mark[0]:
             break
         seen = mark
-        now = common.stored(_small_star(_large_star(now)), "edges")
+        last = at
+        now, at = common.stored_at(_small_star(_large_star(now)), "edges")
+        common.remove(edges.sparkSession, last)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())

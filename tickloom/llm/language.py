@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from tickloom.llm import common
 
 CLASSES, WIDTH = 48, 512
+#: Has no factor in common with the number of classes beyond a-z, so neighbouring letters take all of them.
+SPREAD = 11
 HOLD_MOD, HOLD_AT = 4, 2
 
 
@@ -28,7 +30,7 @@ def letter_table() -> np.ndarray:
     table = np.zeros(1 << 16, np.uint8)
     for cp in range(1 << 16):
         if not 0xD800 <= cp < 0xE000 and chr(cp).isalpha():
-            table[cp] = cp - 96 if 97 <= cp <= 122 else 27 + cp * 7 % (CLASSES - 27)
+            table[cp] = cp - 96 if 97 <= cp <= 122 else 27 + cp * SPREAD % (CLASSES - 27)
     return table
 
 
@@ -58,7 +60,7 @@ def bundle(text: str | None) -> np.ndarray | None:
     c = table()[np.minimum(cp, 0xFFFF)]
     if len(cp) and cp.max() > 0xFFFF:
         for i in np.flatnonzero(cp > 0xFFFF):
-            c[i] = 27 + int(cp[i]) * 7 % (CLASSES - 27) if chr(cp[i]).isalpha() else 0
+            c[i] = 27 + int(cp[i]) * SPREAD % (CLASSES - 27) if chr(cp[i]).isalpha() else 0
     if not c.any():
         return None
     c = np.concatenate([[0], c, [0]])

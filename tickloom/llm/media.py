@@ -4,9 +4,13 @@ The two companding laws are expanded by 256-entry lookup tables; ADPCM, whose
 samples depend on each other only inside one block, is decoded with numpy
 across all blocks at once (one step for each sample position).
 
-Results in odd cases: null or unreadable media give null columns; an empty
-data chunk gives zero samples; a last ADPCM block that is cut short is dropped
+Results in odd cases: null or unreadable media give null columns, and so do files of another
+law, of more than one channel, of another sample width, with a rate of zero or ADPCM blocks too short for a
+header and a sample; an empty data chunk gives zero samples; a last ADPCM block that is cut short is dropped
 as the format demands whole blocks.
+
+The query keeps each text's bytes as the samples of one of the three formats, which a hash of the
+bytes chooses. ADPCM blocks of all files of a batch are decoded together.
 """
 
 from __future__ import annotations
@@ -23,8 +27,12 @@ from pyspark.sql import functions as F
 from tickloom.llm import common
 
 PCM, ALAW, ULAW, ADPCM = 1, 6, 7, 17
+#: Bits of a sample that are read.
+WIDTHS = {PCM: 16, ALAW: 8, ULAW: 8, ADPCM: 4}
 #: The payload of the query is padded to whole units of this many bytes.
 UNIT = 576
+#: Bytes of the query's ADPCM blocks; whole blocks fill a unit.
+BLOCK = 72
 
 # Fixed values of the IMA ADPCM format: index steps and quantiser steps.
 INDEX_STEPS = [-1, -1, -1, -1, 2, 4, 6, 8]
@@ -75,7 +83,7 @@ def decode_adpcm(data: bytes, block: int) -> np.ndarray:
 
 def wav(data: bytes, law: int, rate: int = 8000, block: int = 1) -> bytes:
     """A RIFF file around ``data``: PCM16, A-law, mu-law or IMA ADPCM, mono."""
-    bits = {PCM: 16, ALAW: 8, ULAW: 8, ADPCM: 4}[law]
+    bits = WIDTHS[law]
     align = {PCM: 2, ALAW: 1, ULAW: 1, ADPCM: block}[law]
     extra = struct.pack("<HH", 2, (block - 4) * 2 + 1) if law == ADPCM else b"" if law == PCM else struct.pack("<H", 0)
     speed = rate * align if law != ADPCM else rate * block // ((block - 4) * 2 + 1)
@@ -92,20 +100,39 @@ def parse_wav(raw: bytes | None) -> tuple[int, int, int, bytes] | None:
     while at + 8 <= len(raw):
         kind, size = raw[at : at + 4], struct.unpack_from("<I", raw, at + 4)[0]
         if kind == b"fmt " and size >= 16:
+            if at + 24 > len(raw):
+                return None
             fmt = struct.unpack_from("<HHIIHH", raw, at + 8)
+            law, channels, rate, _, block, bits = fmt
+            if channels != 1 or not rate or WIDTHS.get(law) != bits or (law == ADPCM and block <= 4):
+                return None
         elif kind == b"data" and fmt:
             return fmt[0], fmt[2], fmt[4], raw[at + 8 : at + 8 + size]
         at += 8 + size + (size & 1)
     return None
 
 
-def to_pcm(parsed: tuple[int, int, int, bytes]) -> np.ndarray:
-    law, _, block, data = parsed
-    if law in TABLES:
-        return TABLES[law][np.frombuffer(data, np.uint8)]
-    if law == ADPCM:
-        return decode_adpcm(data, block)
-    return np.frombuffer(data[: len(data) // 2 * 2], "<i2")
+def to_pcm(files: list[tuple[int, int, int, bytes] | None]) -> list[np.ndarray | None]:
+    """Samples of each parsed file; the ADPCM blocks of one length are decoded together."""
+    out: list[np.ndarray | None] = [None] * len(files)
+    blocks: dict[int, list[int]] = {}
+    for k, parsed in enumerate(files):
+        if parsed is None:
+            continue
+        law, _, block, data = parsed
+        if law in TABLES:
+            out[k] = TABLES[law][np.frombuffer(data, np.uint8)]
+        elif law == ADPCM:
+            blocks.setdefault(block, []).append(k)
+        else:
+            out[k] = np.frombuffer(data[: len(data) // 2 * 2], "<i2")
+    for block, some in blocks.items():
+        count = [len(files[k][3]) // block for k in some]
+        samples = decode_adpcm(b"".join(files[k][3][: n * block] for k, n in zip(some, count, strict=True)), block)
+        edges = np.cumsum(count)[:-1] * ((block - 4) * 2 + 1)
+        for k, pcm in zip(some, np.split(samples, edges), strict=True):
+            out[k] = pcm
+    return out
 
 
 def resample(pcm: np.ndarray, rate: int, to: int) -> np.ndarray:
@@ -132,7 +159,7 @@ def decoded(df: DataFrame, media: str = "media", rate: int = 16000, key: str = "
     def start():
         def step(batch):
             parsed = [parse_wav(x) for x in batch.column(1).to_pylist()]
-            pcm = [None if p is None else resample(to_pcm(p), p[1], rate).astype("<i2").tobytes() for p in parsed]
+            pcm = [None if p is None else resample(x, p[1], rate).astype("<i2").tobytes() for p, x in zip(parsed, to_pcm(parsed), strict=True)]
             return [batch.column(0), [None if p is None else rate for p in parsed], pcm]
 
         return step
@@ -146,13 +173,14 @@ def store_pcm(df: DataFrame, path: str, **options) -> None:
 
 
 def store_texts(docs: DataFrame) -> DataFrame:
-    """Each text's padded bytes as the mu-law samples of a WAV file, in a shared table."""
+    """Each text's padded bytes as the mu-law, A-law or ADPCM samples of a WAV file, in a shared table."""
     common.prepare(docs.sparkSession)
 
     def start():
         def step(batch):
             raw = batch.column(1).to_pylist()
-            files = (wav(x + b"\xff" * (max(1, -(-len(x) // UNIT)) * UNIT - len(x)), ULAW) for x in raw)
+            padded = (x + b"\xff" * (max(1, -(-len(x) // UNIT)) * UNIT - len(x)) for x in raw)
+            files = (wav(x, (ULAW, ALAW, ADPCM)[zlib.crc32(x) % 3], block=BLOCK) for x in padded)
             return [batch.column(0), [len(x) for x in raw], list(files)]
 
         return step
@@ -169,11 +197,10 @@ def describe(media: DataFrame, rate: int = 16000) -> DataFrame:
 
     def start():
         def step(batch):
-            rows = []
-            for raw in batch.column(2).to_pylist():
-                parsed = parse_wav(raw)
-                data = parsed[3]
-                pcm = resample(to_pcm(parsed), parsed[1], rate)
+            rows, files = [], batch.column(2).to_pylist()
+            parsed = [parse_wav(raw) for raw in files]
+            for raw, (_, own, _, data), samples in zip(files, parsed, to_pcm(parsed), strict=True):
+                pcm = resample(samples, own, rate)
                 wide = pcm.astype(np.int64)
                 peak, power = int(np.abs(wide).max()), int(np.dot(wide, wide)) // len(pcm)
                 crossings = int(np.count_nonzero((pcm[1:] < 0) != (pcm[:-1] < 0)))

@@ -358,8 +358,9 @@ def met(dealt: DataFrame, shingle: int | None = None) -> DataFrame:
     return dealt.repartition("key").sortWithinPartitions("key").mapInArrow(meet, "place long, a long, b long")
 
 
-def alike(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """(doc_id, component_id) of every row with an id: groups of texts of similarity 0.8 or more.
+def grouped(docs: DataFrame, shingle: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, mark, same), ``mark`` a hash of id and text, and what is known of texts: (same, component, keep): the
+    least id of the group, and whether the group's kept document has this text.
 
     Equal word sequences are folded first. Texts meet where a band's fingerprint has equal pivot
     coordinates (pairs with any coordinate difference are discarded). Two texts of similarity 0.8
@@ -371,43 +372,60 @@ def alike(docs: DataFrame, shingle: int = 5) -> DataFrame:
 
     def start():
         def step(batch):
-            same, places_, sketches = [], [], []
-            for raw in batch.column(1).to_pylist():
+            same, nodes, places_, sketches = [], [], [], []
+            for raw in batch.column(2).to_pylist():
                 h = shingle_hashes(raw, shingle)
-                same.append(xxhash.xxh3_128_digest(b" ".join(common.lower_words(raw))))
+                name = xxhash.xxh3_128_digest(b" ".join(common.lower_words(raw)))
+                same.append(name)
+                nodes.append(int.from_bytes(name[:8], "little", signed=True))
                 places_.append(band_places(h).view(np.int64).tolist())
                 sketches.append(sketch(h))
-            return [batch.column(0), same, places_, sketches]
+            return [batch.column(0), batch.column(1), same, nodes, places_, sketches]
 
         return step
 
-    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), common.body(F.col("text")).alias("b"))
-    prints = common.stored(common.mapped(rows, "doc_id long, same binary, places array<long>, sketch binary", start), "sketches")
-    reps = prints.select("same", "doc_id").groupBy("same").agg(F.min("doc_id").alias("rep"))
-    first = prints.join(reps.select(F.col("rep").alias("r")), F.col("doc_id") == F.col("r"), "left_semi").dropDuplicates(["doc_id"])
-    placed = first.select(F.explode("places").alias("key"), F.col("doc_id").alias("rep"))
+    rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", "text").alias("mark"), common.body(F.col("text")).alias("b"))
+    prints = common.stored(common.mapped(rows, "doc_id long, mark long, same binary, rep long, places array<long>, sketch binary", start), "sketches")
+    reps = prints.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("most"))
+    # A text's first document stands for it; a row that is there twice is taken once.
+    first = prints.join(reps.select("same", "doc_id"), ["same", "doc_id"], "left_semi").dropDuplicates(["same", "doc_id"])
+    placed = first.select(F.explode("places").alias("key"), "rep")
     shared = placed.groupBy("key").agg(F.min("rep").alias("a"), F.max("rep").alias("z")).where("a < z").select(F.col("key").alias("k"))
     some = placed.join(shared, F.col("key") == F.col("k"), "left_semi")
-    dealt = some.join(first.select(F.col("doc_id").alias("r"), "sketch"), F.col("rep") == F.col("r")).select("key", "rep", "sketch")
+    dealt = some.join(first.select(F.col("rep").alias("r"), "sketch"), F.col("rep") == F.col("r")).select("key", "rep", "sketch")
 
     edges = common.stored(met(dealt), "links")
     # Places with the same such texts, as the bands of one group often have, meet once.
     unsure = edges.where("place is not null").select("place", F.col("a").alias("rep")).distinct()
-    texts = rows.join(unsure, F.col("doc_id") == F.col("rep")).select(F.col("place").alias("key"), "rep", "b")
+    named = unsure.join(first.select("rep", "doc_id", "mark"), "rep")
+    texts = rows.join(named, ["doc_id", "mark"]).select(F.col("place").alias("key"), "rep", "b")
     again = met(texts, shingle)
-    edges = edges.where("place is null").select("a", "b").unionByName(again.select("a", "b"))
-    found = graph.components(edges)
-    own = prints.select("doc_id", "same").join(reps.withColumnRenamed("same", "s"), F.col("same") == F.col("s"))
-    return own.join(found, F.col("rep") == F.col("node"), "left").select("doc_id", F.coalesce("component", "rep").alias("component_id"))
+    found = common.stored(graph.components(edges.where("place is null").select("a", "b").unionByName(again.select("a", "b"))), "components")
+    members = found.select(F.col("node").alias("rep"), "component").join(first.select("rep", "same", "doc_id"), "rep")
+    best = members.groupBy("component").agg(F.min("doc_id").alias("least"))
+    with_least = common.told_each(members, best, "component", "rep")
+    kept = with_least.where("doc_id = least").groupBy("component").agg(F.min("rep").alias("kept"))
+    linked = common.told_each(with_least, kept, "component", "rep").select("same", "least", (F.col("rep") == F.col("kept")).alias("keep"))
+    # Texts that are neither linked nor there twice need no word.
+    told = reps.join(linked, "same", "left").where("least is not null or most > doc_id").select("same", F.coalesce("least", "doc_id").alias("component"), F.coalesce("keep", F.lit(True)).alias("keep"))
+    return prints.select("doc_id", "mark", "same"), told
+
+
+def alike(docs: DataFrame, shingle: int = 5) -> DataFrame:
+    """(doc_id, component_id) of every row with an id: groups of texts of similarity 0.8 or more; rows of
+    one id are grouped each by its own text."""
+    rows, told = grouped(docs, shingle)
+    return common.told_each(rows, told, "same", "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """``docs`` with the document of least id of each group of similar documents; columns unchanged.
 
-    Rows with a null id stay; repeated rows of a kept id stay.
+    Rows with a null id stay; a kept row that is there twice stays twice. Of several texts of the least id one is kept.
     """
-    ids = alike(docs, shingle).where("doc_id <> component_id").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["__drop"], "left_anti")
+    rows, told = grouped(docs, shingle)
+    gone = common.told_each(rows, told, "same", "doc_id").where("not keep or doc_id <> component").select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["__id"]) & (F.xxhash64(docs["doc_id"], docs["text"]) == gone["__mark"]), "left_anti")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

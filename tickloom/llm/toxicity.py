@@ -101,7 +101,7 @@ def train(texts: list[str], labels: list[int]) -> dict | None:
         for step in range(ROUNDS):
             scores = word_means(table @ linear, ids, size)
             logit = np.bincount(back, scores[flat], len(rows)) / per + bias
-            slope = (1 / (1 + np.exp(-logit)) - y) * w
+            slope = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * w
             to_word = np.bincount(flat, (slope / per)[back], len(size)) / size
             to_bucket = np.bincount(ids, np.repeat(to_word, size), BUCKETS)
             pace = 0.7 * pace + 0.3 * to_bucket * scale
@@ -199,9 +199,15 @@ def scored(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def accepted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``docs`` without those that the model calls toxic; columns unchanged. Rows with a null id stay."""
-    bad = scored(spark, docs, sf_dir).where("score >= 0.5 and doc_id is not null").select(F.col("doc_id").alias("__drop")).distinct()
-    return docs.join(bad, docs["doc_id"] == bad["__drop"], "left_anti")
+    """``docs`` without those that the model calls toxic; columns unchanged. Each row is judged by its own text."""
+    model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").where(~held(F.col("doc_id"))))
+    shared = common.prepare(spark).sparkContext.broadcast(model)  # BUCKETS floats
+
+    def start():
+        scorer = Scorer(shared.value)
+        return lambda texts: [s < 0.5 for s in scorer.scores([(t or "").encode("utf-8", "surrogatepass") for t in texts])]
+
+    return common.filtered(docs, start)
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
