@@ -24,13 +24,18 @@ from pyspark.sql import functions as F
 from tickloom.llm import common
 
 PER_CLASS = 1200
-WINDOW, STRIDE, WIDTH, BUCKETS, ROUNDS, PASSES, RATE = 3, 1, 8, 1 << 16, 40, 3, 3.0
+WINDOW, WIDTH, BUCKETS, ROUNDS, PASSES, RATE = 3, 8, 1 << 16, 40, 3, 3.0
 HOLD_MOD, HOLD_AT = 5, 0
-CACHE = 1 << 19
+CACHE, SOME = 1 << 18, 1 << 14
 
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket ids of all n-grams in word order, how many for each word)."""
+    """(bucket ids of all n-grams in word order, how many for each word), some words at a time."""
+    ids, size = zip(*(_subwords(words[at : at + SOME]) for at in range(0, len(words), SOME)), strict=True)
+    return np.concatenate(ids), np.concatenate(size)
+
+
+def _subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     marked = [b"<" + w + b">" for w in words]
     raw = np.frombuffer(b"".join(marked), np.uint8).astype(np.uint64)
     size = np.array([len(w) for w in marked], np.int64)
@@ -45,7 +50,7 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
             h = h[: len(raw) - n + 1] * np.uint64(1099511628211) + raw[n - 1 :] + np.uint64(1)
         if n >= 3:
             ok = left[: len(h)] >= n
-            ids.append((common.mix64(h[ok] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.int64))
+            ids.append((common.mix64(h[ok] + np.uint64(n)) % np.uint64(BUCKETS)).astype(np.uint16 if BUCKETS <= 1 << 16 else np.int64))
             owners.append(owner[: len(h)][ok])
     owners, ids = np.concatenate(owners), np.concatenate(ids)
     order = np.argsort(owners, kind="stable")
@@ -59,50 +64,55 @@ def word_means(table: np.ndarray, ids: np.ndarray, size: np.ndarray) -> np.ndarr
 
 def windows(n: int) -> np.ndarray:
     """Starts of the windows over n words; the last one ends with the last word."""
-    last = max(0, n - WINDOW)
-    return np.unique(np.concatenate([np.arange(0, last + 1, STRIDE), [last]]))
+    return np.arange(max(0, n - WINDOW) + 1)
 
 
 def train(texts: list[str], labels: list[int]) -> dict | None:
     """Buckets' scores, bias and border; None without both labels."""
     if len(set(labels)) < 2:
         return None
-    split = [common.lower_words(t.encode("utf-8", "surrogatepass")) for t in texts]
-    names = {w: k for k, w in enumerate(dict.fromkeys(w for s in split for w in s))}
+    names: dict[bytes, int] = {}
+    words = [np.fromiter((names.setdefault(w, len(names)) for w in common.lower_words(t.encode("utf-8", "surrogatepass"))), np.int64) for t in texts]
     if not names:
         return None
     ids, size = subwords(list(names))
-    rows, doc = [], []
-    for d, s in enumerate(split):
-        if s:
-            place = np.array([names[w] for w in s])
-            at = windows(len(s))[:, None] + np.arange(min(WINDOW, len(s)))
-            block = np.full((len(at), WINDOW), -1)
-            block[:, : at.shape[1]] = place[at]
-            rows.append(block)
-            doc.append(np.full(len(at), d))
-    rows, doc = np.concatenate(rows), np.concatenate(doc)
-    there = rows >= 0
-    per = there.sum(1)
+    count = np.array([len(x) for x in words])
+    word = np.concatenate(words)
+    # Windows by their first and past their last word; no two have the same first or last one.
+    begin = np.cumsum(count) - count
+    many = np.where(count > 0, np.maximum(count - WINDOW + 1, 1), 0)
+    doc = np.repeat(np.arange(len(texts)), many)
+    first = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+    per = np.minimum(count, WINDOW)[doc]
     y = np.array(labels)[doc]
+    share = 1.0 / many[doc]  # each document weighs the same
+    del words, names
+
+    def means(scores: np.ndarray) -> np.ndarray:
+        """Mean score of each window's words."""
+        total = np.concatenate([[0.0], np.cumsum(scores[word])])
+        return (total[first + per] - total[first]) / per
 
-    share = 1.0 / np.bincount(doc, minlength=len(texts))[doc]  # each document weighs the same
-    flat = rows[there]
-    back = np.repeat(np.arange(len(rows)), per)
+    def to_words(x: np.ndarray) -> np.ndarray:
+        """Each window's value, shared among its words, added up by word."""
+        edge = np.zeros(len(word) + 1)
+        edge[first] += x / per
+        edge[first + per] -= x / per
+        return np.bincount(word, np.cumsum(edge)[:-1], len(size))
 
     def fit(weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         rng = np.random.default_rng(9)
         w = weight / np.where(y == 1, weight[y == 1].sum(), weight[y == 0].sum())
-        seen = np.bincount(ids, np.repeat(np.bincount(flat, (w / per)[back], len(size)) / size, size), BUCKETS)
+        seen = np.bincount(ids, np.repeat(to_words(w) / size, size), BUCKETS)
         # Steps in units of a bucket's chance fluctuation: neither common nor rare n-grams run ahead.
         scale = 1 / np.sqrt(seen + 1 / len(texts) / 50)
         table, linear, bias = rng.normal(0, 0.02, (BUCKETS, WIDTH)), np.full(WIDTH, WIDTH**-0.5), 0.0
         pace = np.zeros(BUCKETS)
         for step in range(ROUNDS):
             scores = word_means(table @ linear, ids, size)
-            logit = np.bincount(back, scores[flat], len(rows)) / per + bias
+            logit = means(scores) + bias
             slope = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - y) * w
-            to_word = np.bincount(flat, (slope / per)[back], len(size)) / size
+            to_word = to_words(slope) / size
             to_bucket = np.bincount(ids, np.repeat(to_word, size), BUCKETS)
             pace = 0.7 * pace + 0.3 * to_bucket * scale
             rate = RATE * (1 - step / ROUNDS)
@@ -113,7 +123,7 @@ def train(texts: list[str], labels: list[int]) -> dict | None:
         return table @ linear, word_means(table @ linear, ids, size), bias
 
     def tops(scores: np.ndarray, bias: float) -> tuple[np.ndarray, np.ndarray]:
-        value = np.bincount(back, scores[flat], len(rows)) / per + bias
+        value = means(scores) + bias
         best = np.full(len(texts), bias)
         np.maximum.at(best, doc, value)
         return value, best
