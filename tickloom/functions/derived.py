@@ -105,9 +105,9 @@ def mean_reversion(d: Spark) -> Plan:
     """Pullback slopes and crossing rates. A row without a sign yet counts as a crossing, as does the first row."""
     spans = (24, 168, 720)
     logs = {"lnc": ln("c")}
-    means = emas(d, {f"eml{n}": ("lnc", n) for n in spans} | {f"ema{n}": ("c", n) for n in spans})
+    means = emas(d, {f"eml{n}": ("lnc", n) for n in spans})
     dev = {f"dev_ema{n}": f"lnc - eml{n}" for n in spans} | {f"dev_vwap{n}": f"lnc - {ln(f'vwap{n}')}" for n in spans}
-    sgn = {f"sg_ema{n}": f"nullif(sign(c - ema{n}), 0)" for n in spans} | {f"sg_vwap{n}": f"nullif(sign(c - vwap{n}), 0)" for n in spans}
+    sgn = {f"sg_ema{n}": f"nullif(sign(lnc - eml{n}), 0)" for n in spans} | {f"sg_vwap{n}": f"nullif(sign(c - vwap{n}), 0)" for n in spans}
     kinds = [f"{k}{n}" for k in ("ema", "vwap") for n in spans]
     pulled = {f"x_{k}": f"-({lag(f'dev_{k}')})" for k in kinds} | {f"fs_{k}": d.last_known(f"sg_{k}") for k in kinds}
     both = {f"xr_{k}": f"CASE WHEN r IS NOT NULL THEN x_{k} END" for k in kinds} | {f"cr_{k}": f"CASE WHEN fs_{k} IS NULL OR {lag(f'fs_{k}')} IS NULL OR fs_{k} <> {lag(f'fs_{k}')} THEN 1 ELSE 0 END" for k in kinds}
@@ -177,6 +177,19 @@ def normalize_ratio(d: Spark) -> Plan:
     return [*base(d), first, second, out], list(out)
 
 
+def normalize_methods(d: Spark) -> Plan:
+    """The other ways of setting a ratio against its window, on Amihud's illiquidity."""
+    first = {"ami": "abs(r) / (nullif(dollars, 0) + 1e-12)", "amis": "abs(r) / (nullif(dollars, 0) + 1e-12) * 1e6"}
+    out = {f"amihud_{m}_{'log' if logs else 'raw'}_168": normalised(d, "amis", 168, m, logs) for m in ("median_ratio", "mean_ratio", "demean", "zscore") for logs in (True, False)}
+    return [*base(d), first, out], list(out)
+
+
+def trend(d: Spark) -> Plan:
+    """Least-squares slope of the close against the row number."""
+    out = {f"linear_regression_slope_{n}": full(n, div(over("covar_pop", "c, n", n), over("var_pop", "n", n)), "c") for n in (24, 168)}
+    return [*base(d), out], list(out)
+
+
 def zero_fill(d: Spark) -> Plan:
     """Zeros become the last non-zero value before; missing stays missing."""
     columns = [c for c in INPUTS if not c.startswith("premium")]
@@ -184,4 +197,4 @@ def zero_fill(d: Spark) -> Plan:
     return [out], list(out)
 
 
-FAMILIES = (time_primitive, rsi_adx, zscores, momentum, acceleration, mean_reversion, regime, tails_long, interactions, correlations, normalize_ratio, zero_fill)
+FAMILIES = (time_primitive, rsi_adx, zscores, momentum, acceleration, mean_reversion, regime, tails_long, interactions, correlations, normalize_ratio, normalize_methods, trend, zero_fill)

@@ -109,6 +109,13 @@ class Spark:
     def record(self, **fields: str) -> str:
         return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")"
 
+    def pair_where(self, need: str, a: str, b: str) -> str:
+        return f"CASE WHEN {need} IS NOT NULL THEN array({a}, {b}) END"
+
+    def folded(self, arr: str) -> str:
+        """Exponential mean over pairs (value, weight kept of the mean before)."""
+        return f"element_at(aggregate({arr}, try_element_at({arr}, 1), (s, e) -> array(s[0] * e[1] + (1 - e[1]) * e[0], 0D)), 1)"
+
     def weekday(self, ts: str) -> str:
         return f"weekday({ts})"
 
@@ -190,6 +197,12 @@ class Duck(Spark):
     def record(self, **fields: str) -> str:
         return "{" + ", ".join(f"'{k}': {v}" for k, v in fields.items()) + "}"
 
+    def pair_where(self, need: str, a: str, b: str) -> str:
+        return f"CASE WHEN {need} IS NOT NULL THEN [{a}, {b}] END"
+
+    def folded(self, arr: str) -> str:
+        return f"list_reduce({arr}, lambda s, e: [s[1] * e[2] + (1 - e[2]) * e[1], 0::DOUBLE])[1]"
+
     def weekday(self, ts: str) -> str:
         return f"(isodow({ts}) - 1)"
 
@@ -205,5 +218,11 @@ def ewm(d: Spark, arr: str, a: float, adjust: bool) -> str:
     return f"(CASE WHEN {n} > 0 THEN {z} * {a!r} + power({1 - a!r}, {n}) * {d.first(arr)} END)"
 
 
+def kept_weight(steps: str, a: float) -> str:
+    """Weight that an unadjusted mean keeps when the next value comes ``steps`` rows later."""
+    w = f"power({1 - a!r}, coalesce({steps}, 1))"
+    return f"CAST({w} / ({w} + {a!r}) AS DOUBLE)"
+
+
 def span(n: int) -> float:
     return 2 / (n + 1)

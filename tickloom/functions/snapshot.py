@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from tickloom.functions.dialect import Spark, at_least, avg, corr, div, ewm, frame, full, lag, ln, over, root, span, std, zscore
+from tickloom.functions.dialect import Spark, at_least, avg, corr, div, ewm, frame, full, kept_weight, lag, ln, over, root, span, std, zscore
 from tickloom.plans.layers import Layer
 
 LOOKBACK = 720
@@ -81,11 +81,14 @@ def rsi_adx(d: Spark) -> Plan:
     means = {"g": ewm(d, "gains", a, False), "l": ewm(d, "losses", a, False), "p": ewm(d, "pluses", a, False), "m": ewm(d, "minuses", a, False), "t": ewm(d, "trs", a, False)}
     di = {"dip": f"CASE WHEN rn >= 14 THEN 100 * {div('p', 't')} END", "dim": f"CASE WHEN rn >= 14 THEN 100 * {div('m', 't')} END"}
     dx = {"dx": f"100 * {div('abs(dip - dim)', 'dip + dim')}"}
+    # A missing DX decays what stands before it: the weight kept grows smaller with the rows since the last one.
+    since = "rn - max(CASE WHEN dx IS NOT NULL THEN rn END) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    gap = {"dx_keep": kept_weight(since, a)}
     out = {
         "close_rsi_14": f"CASE WHEN rn >= 15 THEN CASE WHEN l = 0 THEN 100.0 ELSE 100 - 100 / (1 + {div('g', 'l')}) END END",
-        "close_adx_14": f"CASE WHEN count(dx) {frame(LOOKBACK)} >= 14 THEN {ewm(d, 'dxs', a, False)} END", "close_di_plus_14": "dip", "close_di_minus_14": "dim",
+        "close_adx_14": f"CASE WHEN count(dx) {frame(LOOKBACK)} >= 14 THEN {d.folded('dxs')} END", "close_di_plus_14": "dip", "close_di_minus_14": "dim",
     }
-    return [*BASE, moves, kept, arrays, means, di, dx, {"dxs": d.gather("dx", LOOKBACK)}, out], list(out)
+    return [*BASE, moves, kept, arrays, means, di, dx, gap, {"dxs": d.gather(d.pair_where("dx", "CAST(dx AS DOUBLE)", "dx_keep"), LOOKBACK)}, out], list(out)
 
 
 def oscillators(d: Spark) -> Plan:
@@ -123,13 +126,14 @@ def volatility_range(d: Spark) -> Plan:
 
 def volume_flow(d: Spark) -> Plan:
     one = {"adl_row": "coalesce(clv * volume, 0)", "obv_row": "CASE WHEN rn > 1 THEN sign(d) * volume ELSE 0 END"}
-    two = {"adl": over("sum", "adl_row", LOOKBACK), "obv": over("sum", "obv_row", LOOKBACK), "vwap": div(over("sum", "tp * volume", LOOKBACK), over("sum", "volume", LOOKBACK)), "dv20": full(20, over("sum", "dollars", 20))}
+    two = {"adl": over("sum", "adl_row", LOOKBACK), "obv": over("sum", "obv_row", LOOKBACK - 1), "adl_all": over("sum", "adl_row", None), "vwap": div(over("sum", "tp * volume", LOOKBACK), over("sum", "volume", LOOKBACK)), "dv20": full(20, over("sum", "dollars", 20))}
     out = {
         "close_obv": "obv", "close_vwap": "vwap", "close_adl": "adl", "close_chaikin_3_10": f"CASE WHEN rn >= 10 THEN {ewm(d, 'adls', span(3), True)} - {ewm(d, 'adls', span(10), True)} END",
         "close_volume_ratio": div("close", "volume"), "high_volume_ratio": div("high", "volume"), "close_obv_over_dollar_vol_20": div("obv", "dv20"), "close_adl_over_dollar_vol_20": div("adl", "dv20"),
         "close_over_vwap": div("close", "vwap"), "close_log_ratio_vwap": ln("close / nullif(vwap, 0)"),
     }
-    return [*BASE, one, two, {"adls": d.gather("CAST(adl AS DOUBLE)", LOOKBACK)}, out], list(out)
+    # Chaikin smooths sums from any one start: a constant shift cancels in the difference.
+    return [*BASE, one, two, {"adls": d.gather("CAST(adl_all AS DOUBLE)", LOOKBACK)}, out], list(out)
 
 
 def distribution_stats(d: Spark) -> Plan:
@@ -220,4 +224,29 @@ def spectrum(d: Spark) -> Plan:
     return [*BASE, one, two, three, four, out], list(out)
 
 
-FAMILIES = (returns_basic, moving_averages, ema_macd, rsi_adx, oscillators, volatility_range, volume_flow, distribution_stats, percentiles, candles_time, extremes_channels, liquidity, var_cvar, ou_halflife, permutation_entropy, spectrum)
+def thresholds(values: dict[str, dict[str, float]]) -> Layer:
+    """Flags {column}_oversold (under) and {column}_overbought (over) for columns with bounds; NULL where the column is."""
+    return {f"{x}_{kind}": f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} {'<' if kind == 'oversold' else '>'} {v!r} THEN 1 ELSE 0 END" for x, bounds in values.items() for kind, v in bounds.items()}
+
+
+def interactions(pairs: list[tuple[str, str]], present: list[str]) -> Layer:
+    """Products {a}_x_{b}; NULL where a column is NULL or absent."""
+    return {f"{a}_x_{b}": f"{a} * {b}" if a in present and b in present else "CAST(NULL AS DOUBLE)" for a, b in pairs}
+
+
+def rolling_correlations(pairs: list[tuple[str, str]], n: int) -> Layer:
+    return {f"{a}_{b}_rolling_corr_{n}": corr(a, b, n) for a, b in pairs}
+
+
+def flags_terms(d: Spark) -> Plan:
+    """Thresholds, interactions and rolling correlations over the oscillators, by configuration."""
+    made, columns = oscillators(d)
+    flags = thresholds({"close_uo_7_14_28": {"oversold": 35.0, "overbought": 65.0}, "close_cci_20": {"oversold": -100.0, "overbought": 100.0}, "close_williams_r_14": {"oversold": -80.0, "overbought": -20.0}})
+    terms = interactions([("close_cci_20", "close_uo_7_14_28"), ("close_mfi_14", "close_williams_r_14"), ("close_mfi_14", "absent")], columns)
+    together = rolling_correlations([("high", "volume"), ("close", "open")], 20)
+    return [*made, flags | terms | together], [*flags, *terms, *together]
+
+
+FAMILIES = (returns_basic, moving_averages, ema_macd, rsi_adx, oscillators, volatility_range, volume_flow, distribution_stats, percentiles, candles_time, extremes_channels, liquidity, var_cvar, ou_halflife, permutation_entropy, spectrum, flags_terms)
+#: Families that fold long arrays; a bundle may leave them out.
+SLOW = (permutation_entropy, spectrum, ou_halflife)

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tickloom.functions.dialect import Spark, avg, full, ln
 from tickloom.operators import current_bar
 from tickloom.plans import layers
+from tickloom.sources.bars import as_of, right_closed
+
+HOURS = {"1H": 1, "4H": 4, "12H": 12, "1D": 24}
 
 
 @dataclass(frozen=True)
@@ -23,18 +26,41 @@ class Observations:
         return [f"{name}_{tf}" for name in ("close_logret_current", "log_volume_delta_current", f"close_parkinson_{self.window}") for tf in self.timeframes]
 
 
-def plan(d: Spark, config: Observations = Observations()) -> tuple[list[layers.Layer], list[str]]:
+def plan(d: Spark, config: Observations = Observations(), tf: str | None = None) -> tuple[list[layers.Layer], list[str]]:
+    """Columns of one timeframe, the first by default; the bars are that timeframe's."""
     made, _ = current_bar.layers(d)
     hl = {"hl_obs": ln("high / nullif(low, 0)")}
-    tf = config.timeframes[0]
+    tf = tf or config.timeframes[0]
     out = {f"close_logret_current_{tf}": "close_logret_current", f"log_volume_delta_current_{tf}": "log_volume_delta_current", f"close_parkinson_{config.window}_{tf}": full(config.window, f"sqrt({avg('hl_obs * hl_obs', config.window)} / (4 * ln(2)))")}
     return [*made, hl, out], list(out)
 
 
 def observations(bars: DataFrame, config: Observations = Observations()) -> DataFrame:
-    made, columns = plan(Spark(), config)
-    out = layers.apply(bars, made).select("symbol", "ts", *columns)
-    return out.dropna(subset=columns) if config.drop_warmup else out
+    """(symbol, ts, ``config.columns()``) for hourly bars: at each hour every timeframe's last finished bar."""
+    out = bars.select("symbol", "ts")
+    for tf in config.timeframes:
+        made, columns = plan(Spark(), config, tf)
+        own = layers.apply(bars if HOURS[tf] == 1 else right_closed(bars, HOURS[tf]), made).select("symbol", "ts", *columns)
+        out = own if len(config.timeframes) == 1 else out.join(as_of(bars.select("symbol", "ts"), own, columns), ["symbol", "ts"])
+    out = out.select("symbol", "ts", *config.columns())
+    return out.dropna(subset=config.columns()) if config.drop_warmup else out
+
+
+def latest(bars: DataFrame, config: Observations) -> DataFrame:
+    """The last whole vector of each symbol."""
+    whole = observations(bars, config).dropna(subset=config.columns())
+    return whole.groupBy("symbol").agg(F.max("ts").alias("ts"), *(F.max_by(c, "ts").alias(c) for c in config.columns()))
+
+
+def merge(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", drop_missing: bool = False) -> DataFrame:
+    """One-to-one merge of two feature tables; ``how`` is inner, left, right or outer. ValueError where a key is there twice."""
+    if how not in ("inner", "left", "right", "outer"):
+        raise ValueError(f"unknown how: {how}")
+    for name, side in (("left", left), ("right", right)):
+        if side.groupBy(*keys).count().where("count > 1").limit(1).count():
+            raise ValueError(f"keys of the {name} table are not unique")
+    out = left.join(right, keys, how)
+    return out.dropna(subset=[c for c in out.columns if c not in keys]) if drop_missing else out
 
 
 def scaled(obs: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:

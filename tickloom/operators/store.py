@@ -70,3 +70,30 @@ def list_mode(bars: DataFrame, wanted: list[str], now: str) -> DataFrame:
     spark = bars.sparkSession
     times = spark.createDataFrame([(x.strip(),) for x in wanted], "t string").select(F.expr("try_cast(t as timestamp_ntz)").alias("ts")).dropna().distinct()
     return window_mode(bars, now, start="0001-01-01").join(times, "ts", "left_semi")
+
+
+def write(df: DataFrame, path: str, kind: str = "parquet", created: bool = False) -> None:
+    """Sink by kind (parquet or csv with a header); ``created`` adds created_at, the time of writing. A day is a folder."""
+    if kind not in ("parquet", "csv"):
+        raise ValueError(f"unsupported format: {kind}")
+    out = df.withColumn("created_at", F.current_timestamp()) if created else df
+    out = out.withColumn("day", F.to_date("ts"))
+    # Days that are written again are replaced, the others stay.
+    to = out.repartition("day").write.mode("overwrite").partitionBy("day").option("partitionOverwriteMode", "dynamic")
+    to.option("header", True).csv(path) if kind == "csv" else to.parquet(path)
+
+
+def read_range(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Rows of a written Parquet table with ts in [start, end]: only the days of the range are read."""
+    out = spark.read.parquet(path)
+    if start:
+        out = out.where((F.col("day") >= F.lit(start).cast("date")) & (F.col("ts") >= F.lit(start).cast("timestamp_ntz")))
+    if end:
+        out = out.where((F.col("day") <= F.lit(end).cast("date")) & (F.col("ts") <= F.lit(end).cast("timestamp_ntz")))
+    return out.drop("day")
+
+
+def with_targets(predictions: DataFrame, targets: DataFrame) -> DataFrame:
+    """Predictions (ts, target_key, ...) beside the stored value of their target; NULL where it is not known yet."""
+    known = targets.select("ts", "target_key", "target_value")
+    return predictions.join(known, ["ts", "target_key"], "left")

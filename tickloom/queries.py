@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 
 import pandas as pd
@@ -12,7 +13,7 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql.window import Window
 
 from tickloom.functions import derived, snapshot
-from tickloom.functions.dialect import Duck, Spark
+from tickloom.functions.dialect import Duck, Spark, kept_weight, lag, span
 from tickloom.operators import current_bar, hmm, store, targets
 from tickloom.plans import layers
 from tickloom.sources import bars
@@ -27,6 +28,11 @@ def hourly(spark: SparkSession, sf_dir: str, by_type: bool = False) -> DataFrame
     return bars.hourly(bars.events(spark, sf_dir), by_type)
 
 
+def places(plan: Callable) -> int:
+    """Digits that are kept; ratios to volumes often tie at six."""
+    return 8 if plan is snapshot.volume_flow else 6
+
+
 def planned(name: str, plan: Callable, source: Callable[[SparkSession, str], DataFrame], source_sql: str, places: int = 6) -> None:
     """Registers a layered plan on both sides; values are rounded alike."""
     lines, columns = plan(D)
@@ -52,7 +58,7 @@ for _h, _n in ((4, "4h"), (12, "12h"), (24, "1d")):
 simple("bars_empty_bins", lambda s, d: rounded(bars.right_closed(hourly(s, d, True), 1, True)), f"SELECT {OUT} FROM ({bars.right_closed_sql(TYPES, 1, True)})")
 
 for _f in snapshot.FAMILIES:
-    planned(_f.__name__, _f, lambda s, d: hourly(s, d), ALL, 8 if _f is snapshot.volume_flow else 6)
+    planned(_f.__name__, _f, lambda s, d: hourly(s, d), ALL, places(_f))
 planned("rsi_adx_by_type", snapshot.rsi_adx, lambda s, d: hourly(s, d, True), TYPES)
 planned("oscillators_4h", snapshot.oscillators, lambda s, d: bars.right_closed(hourly(s, d), 4), bars.right_closed_sql(ALL, 4))
 for _f in derived.FAMILIES:
@@ -64,6 +70,74 @@ for _t, _n in ((targets.Targets(), "conservative"), (targets.Targets(ties="proxi
     planned(f"targets_mfe_mae_{_n}", lambda d, t=_t: targets.excursions(d, t), lambda s, d: hourly(s, d), ALL)
     planned(f"targets_barrier_{_n}", lambda d, t=_t: targets.barriers(d, t), lambda s, d: hourly(s, d), ALL)
 
+
+
+def clean(c: str) -> str:
+    return c.replace(".", "_")
+
+
+def bundle(df: DataFrame, plans: list[Callable]) -> DataFrame:
+    """All columns of several families beside (symbol, ts): families follow each other over the same partitioning and order,
+    and a family's helper columns go when it is done."""
+    base, done = df.columns, []
+    for plan in plans:
+        made, columns = plan(S)
+        df = layers.apply(df, made).select(*base, *done, *(F.round(F.col(f"`{c}`").cast("double"), places(plan)).alias(f"out:{clean(c)}") for c in columns))
+        done += [f"`out:{clean(c)}`" for c in columns]
+    return df.select("symbol", "ts", *(F.col(c).alias(c[5:-1]) for c in done))
+
+
+def bundle_sql(source: str, plans: list[Callable]) -> tuple[str, list[str]]:
+    """The same, each family by itself, joined by key."""
+    parts, names = [], []
+    for k, plan in enumerate(plans):
+        made, columns = plan(D)
+        parts.append(f"({layers.to_sql(source, made)} SELECT symbol, ts, " + ", ".join(f'round(CAST("{c}" AS DOUBLE), {places(plan)}) AS "{clean(c)}"' for c in columns) + f" FROM b{len(made)}) f{k}")
+        names += map(clean, columns)
+    return "SELECT * FROM " + parts[0] + "".join(f" JOIN {p} USING (symbol, ts)" for p in parts[1:]), names
+
+
+def project(df: DataFrame, wanted: list[str] | None, missing: str = "skip") -> DataFrame:
+    """Keys and the wanted features in their order; features that are not there are skipped, or warned of, or an error."""
+    if wanted is None:
+        return df
+    absent = [c for c in wanted if c not in df.columns]
+    if absent and missing == "error":
+        raise ValueError(f"no such features: {absent}")
+    if absent and missing == "warn":
+        warnings.warn(f"no such features: {absent}", stacklevel=2)
+    return df.select("symbol", "ts", *(c for c in wanted if c in df.columns))
+
+
+def features(base: DataFrame, timeframes: tuple[str, ...] = ("1H",), skip_slow: bool = True, wanted: list[str] | None = None, missing: str = "skip") -> DataFrame:
+    """The indicator bundle of hourly bars for each timeframe, columns with the timeframe's suffix, as of each hour."""
+    plans = [f for f in snapshot.FAMILIES if not (skip_slow and f in snapshot.SLOW)]
+    out = None
+    for tf in timeframes:
+        own = bundle(base if hmm.HOURS[tf] == 1 else bars.right_closed(base, hmm.HOURS[tf]), plans)
+        named = own.toDF("symbol", "ts", *(f"{c}_{tf}" for c in own.columns[2:]))
+        if hmm.HOURS[tf] > 1:
+            named = bars.as_of(base.select("symbol", "ts"), named, named.columns[2:])
+        out = named if out is None else out.join(named, ["symbol", "ts"])
+    return project(out, wanted, missing)
+
+
+_FAST = [f for f in snapshot.FAMILIES if f not in snapshot.SLOW]
+
+
+def _bundle_sql(tf: str) -> str:
+    hours = hmm.HOURS[tf]
+    made, names = bundle_sql(ALL if hours == 1 else bars.right_closed_sql(ALL, hours), _FAST)
+    columns = ", ".join(f'f."{c}" AS "{c}_{tf}"' for c in names)
+    return f"SELECT h.symbol AS symbol, h.ts AS ts, {columns} FROM ({ALL}) h ASOF LEFT JOIN ({made}) f ON h.symbol = f.symbol AND h.ts >= f.ts"
+
+
+simple("bundle_1h", lambda s, d: features(hourly(s, d)), _bundle_sql("1H"))
+simple("bundle_4h", lambda s, d: features(hourly(s, d), ("4H",)), _bundle_sql("4H"))
+_SERIES = [f for f in derived.FAMILIES if f not in (derived.zero_fill, derived.normalize_methods, derived.trend)]
+_SERIES_SQL, _ = bundle_sql(bars.unified_sql(), _SERIES)
+simple("series_bundle", lambda s, d: bundle(bars.unified(hourly(s, d, True), hourly(s, d)), _SERIES), _SERIES_SQL)
+
 _LAG_LINES, _LAG_COLUMNS = current_bar.with_lags(D, 2)
 
 
@@ -82,6 +156,28 @@ _WHOLE = " AND ".join(f"{c} IS NOT NULL" for c in _OBS)
 simple("hmm_v1", lambda s, d: rounded(hmm.observations(hourly(s, d))), layers.to_sql(ALL, _OBS_LINES) + f" SELECT symbol, ts, {', '.join(f'round({c}, 6) AS {c}' for c in _OBS)} FROM b{len(_OBS_LINES)} WHERE {_WHOLE}")
 simple("hmm_scaled", lambda s, d: rounded(hmm.scaled(hmm.observations(hourly(s, d)), _OBS)), layers.to_sql(ALL, _OBS_LINES) + f" SELECT symbol, ts, {', '.join(f'round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}' for c in _OBS)} FROM b{len(_OBS_LINES)} WHERE {_WHOLE}")
 
+_MULTI = hmm.Observations(("1H", "4H", "1D"), 3)
+
+
+def _multi_sql() -> str:
+    parts = []
+    for tf in _MULTI.timeframes:
+        made, columns = hmm.plan(D, _MULTI, tf)
+        source = ALL if hmm.HOURS[tf] == 1 else bars.right_closed_sql(ALL, hmm.HOURS[tf])
+        parts.append(f"({layers.to_sql(source, made)} SELECT symbol, ts, {', '.join(columns)} FROM b{len(made)}) t{tf}")
+    joins = " ".join(f"ASOF LEFT JOIN {p} ON h.symbol = {p.split()[-1]}.symbol AND h.ts >= {p.split()[-1]}.ts" for p in parts)
+    return f"SELECT h.symbol AS symbol, h.ts AS ts, {', '.join(_MULTI.columns())} FROM ({ALL}) h {joins} WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _MULTI.columns())
+
+
+_MULTI_OUT = ", ".join(f"round({c}, 6) AS {c}" for c in _MULTI.columns())
+simple("hmm_multi_tf", lambda s, d: rounded(hmm.observations(hourly(s, d), _MULTI)), f"SELECT symbol, ts, {_MULTI_OUT} FROM ({_multi_sql()})")
+simple("hmm_latest", lambda s, d: rounded(hmm.latest(hourly(s, d), _MULTI)), f"SELECT symbol, ts, {_MULTI_OUT} FROM ({_multi_sql()}) QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) = 1")
+simple(
+    "hmm_merge_outer",
+    lambda s, d: rounded(hmm.merge(hourly(s, d).selectExpr("ts", "close AS close_1H"), bars.right_closed(hourly(s, d), 4).selectExpr("ts", "close AS close_4H"), ["ts"], "outer")),
+    f"SELECT ts, round(a.close, 6) AS close_1H, round(b.close, 6) AS close_4H FROM ({ALL}) a FULL JOIN ({bars.right_closed_sql(ALL, 4)}) b USING (ts)",
+)
+
 _UNIFIED = "symbol, ts, " + ", ".join(f"round({c}, 6) AS {c}" for names in bars.SOURCES.values() for c in names.values()) + ", round(spot_num_trades, 6) AS spot_num_trades, round(spot_taker_buy_volume, 6) AS spot_taker_buy_volume"
 simple("merge_spine_left_join", lambda s, d: rounded(bars.unified(hourly(s, d, True), hourly(s, d))).select("symbol", "ts", *(c for n in bars.SOURCES.values() for c in n.values()), "spot_num_trades", "spot_taker_buy_volume"), f"SELECT {_UNIFIED} FROM ({bars.unified_sql()})")
 simple("continuity_check", lambda s, d: bars.continuity(hourly(s, d, True), 24), f"SELECT symbol, ts, n AS n_rows, n AS n_hours, CASE WHEN n = 24 THEN 1 ELSE 0 END AS complete FROM (SELECT symbol, ts, count(*) OVER (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW) AS n FROM ({TYPES}))")
@@ -110,23 +206,25 @@ _B, _BC = snapshot.returns_basic(D)
 simple("feature_json_map", feature_json_map, layers.to_sql(ALL, _B) + f" SELECT 'basic' AS feature_key, ts, {', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in _BC[:6])} FROM b{len(_B)}")
 
 
+def _daily_layers(d: Spark, days: int) -> list[layers.Layer]:
+    """A mean over all calendar days up to the day before: days without bars decay what stands before them."""
+    gap = f"{'datediff(ts, ' if d is S else 'date_diff(' + chr(39) + 'day' + chr(39) + ', '}{lag('ts') if d is S else lag('ts') + ', ts'})"
+    return [{"gap": gap}, {"arr": d.gather(d.pair_where("close", "CAST(close AS DOUBLE)", kept_weight("gap", span(days))), None)}, {"ema": d.folded("arr")}, {"ema_lag": lag("ema")}]
+
+
 def daily_ema_flag(spark: SparkSession, sf_dir: str, days: int = 5) -> DataFrame:
     """Close over the previous day's exponential mean of daily closes: 1 or 0, 0 where unknown."""
     base = hourly(spark, sf_dir)
     daily = base.groupBy("symbol", F.date_trunc("day", "ts").cast("timestamp_ntz").alias("day")).agg(F.max_by("close", "ts").alias("close")).select("symbol", F.col("day").alias("ts"), "close")
-    from tickloom.functions.dialect import ewm, lag, span
-
-    made = layers.apply(daily, [{"arr": S.gather("close", 400)}, {"ema": ewm(S, "arr", span(days), False)}, {"ema_lag": lag("ema")}]).select("symbol", F.col("ts").alias("day"), "ema_lag")
+    made = layers.apply(daily, _daily_layers(S, days)).select("symbol", F.col("ts").alias("day"), "ema_lag")
     joined = base.withColumn("day", F.date_trunc("day", "ts").cast("timestamp_ntz")).join(made, ["symbol", "day"], "left")
     return rounded(joined.select("symbol", "ts", "ema_lag", F.coalesce((F.col("close") > F.col("ema_lag")).cast("int"), F.lit(0)).alias("is_above_daily_ema")))
 
 
 def _daily_sql(days: int = 5) -> str:
-    from tickloom.functions.dialect import ewm, lag, span
-
     daily = f"SELECT symbol, CAST(date_trunc('day', ts) AS TIMESTAMP) AS ts, arg_max(close, ts) AS close FROM ({ALL}) GROUP BY 1, 2"
-    made = layers.to_sql(daily, [{"arr": D.gather("close", 400)}, {"ema": ewm(D, "arr", span(days), False)}, {"ema_lag": lag("ema")}])
-    return made + f" SELECT h.symbol AS symbol, h.ts AS ts, round(ema_lag, 6) AS ema_lag, CASE WHEN h.close > ema_lag THEN 1 ELSE 0 END AS is_above_daily_ema FROM ({ALL}) h LEFT JOIN b3 ON h.symbol = b3.symbol AND date_trunc('day', h.ts) = b3.ts"
+    made = layers.to_sql(daily, _daily_layers(D, days))
+    return made + f" SELECT h.symbol AS symbol, h.ts AS ts, round(ema_lag, 6) AS ema_lag, CASE WHEN h.close > ema_lag THEN 1 ELSE 0 END AS is_above_daily_ema FROM ({ALL}) h LEFT JOIN b4 ON h.symbol = b4.symbol AND date_trunc('day', h.ts) = b4.ts"
 
 
 simple("daily_ema_flag", daily_ema_flag, _daily_sql())
@@ -182,13 +280,21 @@ QUERIES["kalman_slope"] = kalman_slope
 
 
 def run_fraction(spark: SparkSession, sf_dir: str, n: int = 24) -> DataFrame:
-    """Share of the frame's earlier moves, zeros left out, that have the current move's sign."""
+    """Share of the frame's earlier moves that have the current move's sign; NULL unless all n moves are there and none is zero."""
     made = layers.apply(hourly(spark, sf_dir), [{"prev": "lag(close) OVER (PARTITION BY symbol ORDER BY ts)"}, {"sgn": "nullif(sign(close - prev), 0)"}])
     back = Window.partitionBy("symbol").orderBy("ts").rowsBetween(-(n - 1), -1)
     same = F.sum(F.when(F.col("sgn") > 0, 1).otherwise(0)).over(back), F.sum(F.when(F.col("sgn") < 0, 1).otherwise(0)).over(back)
     share = F.when(F.col("sgn") > 0, same[0]).when(F.col("sgn") < 0, same[1])
-    return rounded(made.withColumn("n", F.count("sgn").over(back)).select("symbol", "ts", F.try_divide(share, F.nullif(F.col("n"), F.lit(0))).alias("run_fraction")))
+    whole = F.count("sgn").over(Window.partitionBy("symbol").orderBy("ts").rowsBetween(-(n - 1), 0)) == n
+    return rounded(made.select("symbol", "ts", F.when(whole, share / F.lit(n - 1)).alias("run_fraction")))
 
 
 _RUN = "OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 23 PRECEDING AND 1 PRECEDING)"
-simple("run_fraction", run_fraction, f"WITH m AS (SELECT symbol, ts, nullif(sign(close - lag(close) OVER (PARTITION BY symbol ORDER BY ts)), 0) AS sgn FROM ({ALL})) SELECT symbol, ts, round(CASE WHEN sgn > 0 THEN count(CASE WHEN sgn > 0 THEN 1 END) {_RUN} WHEN sgn < 0 THEN count(CASE WHEN sgn < 0 THEN 1 END) {_RUN} END / nullif(count(sgn) {_RUN}, 0), 6) AS run_fraction FROM m")
+simple(
+    "run_fraction",
+    run_fraction,
+    f"""WITH m AS (SELECT symbol, ts, sign(close - lag(close) OVER (PARTITION BY symbol ORDER BY ts)) AS sgn FROM ({ALL})),
+      w AS (SELECT symbol, ts, sgn, list(sgn) OVER (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x FROM m)
+      SELECT symbol, ts, CASE WHEN len(list_filter(x, lambda v: v IN (-1, 1))) = 24 THEN round((len(list_filter(x, lambda v: v = sgn)) - 1) / 23.0::DOUBLE, 6) END AS run_fraction FROM w""",
+)
+

@@ -83,9 +83,9 @@ def right_closed(bars: DataFrame, hours: int, empty: bool = False) -> DataFrame:
         raise ValueError("hours must divide 24")
     step = hours * 3_600_000_000
     label = F.expr(f"cast(timestamp_micros(cast(ceil({_micros('ts')} / {step}D) as bigint) * {step}) as timestamp_ntz)")
-    last = bars.groupBy("symbol").agg(F.max("ts").alias("last"), F.min("ts").alias("first"))
-    made = bars.groupBy("symbol", label.alias("label")).agg(F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume"))
-    out = made.join(last, "symbol").where("label <= last").select("symbol", F.col("label").alias("ts"), *COLUMNS)
+    made = bars.groupBy("symbol", label.alias("label")).agg(F.max("ts").alias("last"), F.min_by("open", "ts").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "ts").alias("close"), F.sum("volume").alias("volume"))
+    # A symbol's last time, from its bins: the bars are read once.
+    out = made.withColumn("last", F.max("last").over(Window.partitionBy("symbol"))).where("label <= last").select("symbol", F.col("label").alias("ts"), *COLUMNS)
     if not empty:
         return out
     ends = out.groupBy("symbol").agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
@@ -122,7 +122,9 @@ def continuity(bars: DataFrame, hours: int) -> DataFrame:
     """(symbol, ts, n_rows, n_hours, complete): are the last ``hours`` hours up to each bar all there, once each?"""
     seconds = F.expr("unix_seconds(cast(ts as timestamp))")
     back = Window.partitionBy("symbol").orderBy("s").rangeBetween(-(hours - 1) * 3600, 0)
-    out = bars.withColumn("s", seconds).select("symbol", "ts", F.count("*").over(back).alias("n_rows"), F.size(F.collect_set("s").over(back)).cast("long").alias("n_hours"))
+    before = F.lag("s").over(Window.partitionBy("symbol").orderBy("s"))
+    marked = bars.withColumn("s", seconds).withColumn("first", F.when(before == F.col("s"), 0).otherwise(1).cast("long"))  # repeats of an hour count once
+    out = marked.select("symbol", "ts", F.count("*").over(back).alias("n_rows"), F.sum("first").over(back).alias("n_hours"))
     return out.withColumn("complete", ((F.col("n_rows") == hours) & (F.col("n_hours") == hours)).cast("int"))
 
 
@@ -154,10 +156,9 @@ def unified(by_type: DataFrame, whole: DataFrame) -> DataFrame:
 
     Trade counts and taker volumes are derived: trades = spot volume, taker buys = half of it times high over (high + low).
     """
-    out = spine(whole)
-    for kind, names in SOURCES.items():
-        part = by_type.where(F.col("symbol") == kind).select("ts", *(F.col(a).alias(b) for a, b in names.items()))
-        out = out.join(part, "ts", "left")
+    # All sources in one aggregation: a source has an hour once, so the maximum is its value.
+    value = [F.max(F.when(F.col("symbol") == kind, F.col(a))).alias(b) for kind, names in SOURCES.items() for a, b in names.items()]
+    out = spine(whole).join(by_type.where(F.col("symbol").isin(*SOURCES)).groupBy("ts").agg(*value), "ts", "left")
     return out.withColumn("spot_num_trades", F.col("spot_volume") + 1).withColumn("spot_taker_buy_volume", F.expr("spot_volume * spot_high / nullif(spot_high + spot_low, 0)"))
 
 
