@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -63,6 +64,29 @@ def merge(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
     return out.dropna(subset=[c for c in out.columns if c not in keys]) if drop_missing else out
 
 
+#: The columns of the observation tables, from the indicator table and from the current-bar table; a timeframe is put behind each.
+TABLES = {
+    "v1": (["close_parkinson_20"], ["close_logret_current", "log_volume_delta_current"]),
+    "v2": (["close_ret_zscore_20", "volume_rvol_20", "close_over_vwap", "close_log_ratio_vwap"], ["high_low_range_pct_current", "close_open_pct_current"]),
+}
+
+
+def table(features: DataFrame, current: DataFrame, version: str = "v2", timeframes: tuple[str, ...] = ("1H",), how: str = "inner", drop_missing: bool = False) -> DataFrame:
+    """The observation table of a version: its columns of both tables, merged one to one by (symbol, ts), by feature, then by timeframe.
+
+    Columns that a table lacks are warned of and left out. v1 puts the current-bar columns first, v2 the indicators.
+    """
+    wanted = [[f"{name}_{tf}" for name in names for tf in timeframes] for names in TABLES[version]]
+    for df, names in zip((features, current), wanted):
+        absent = [c for c in names if c not in df.columns]
+        if absent:
+            warnings.warn(f"no such columns: {absent}", stacklevel=2)
+    left, right = (df.select("symbol", "ts", *(c for c in names if c in df.columns)) for df, names in zip((features, current), wanted))
+    out = merge(left, right, ["symbol", "ts"], how, drop_missing)
+    ordered = wanted[0] + wanted[1] if version == "v2" else wanted[1] + wanted[0]
+    return out.select("symbol", "ts", *(c for c in ordered if c in out.columns))
+
+
 def scaled(obs: DataFrame, columns: list[str], fitted: DataFrame | None = None) -> DataFrame:
     """Zero mean and unit population deviation, by the means and deviations of ``fitted`` (or of
     ``obs``): one row, so broadcasting it is safe. A constant column is only centred."""

@@ -18,7 +18,7 @@ def from_features(stored: DataFrame, columns: list[str]) -> DataFrame:
 
 def to_targets(wide: DataFrame, dataset: str, columns: list[str]) -> DataFrame:
     """(ts, dataset, target_key, target_value): finite values only."""
-    long = wide.select("ts", *(F.col(f"`{c}`").cast("double").alias(c) for c in columns)).unpivot(["ts"], columns, "target_key", "target_value")
+    long = wide.select("ts", *(F.col(f"`{c}`").cast("double").alias(c) for c in columns)).unpivot(["ts"], [F.col(f"`{c}`") for c in columns], "target_key", "target_value")
     return long.where("target_value is not null and not isnan(target_value) and abs(target_value) < double('inf')").select("ts", F.lit(dataset).alias("dataset"), "target_key", "target_value")
 
 
@@ -83,6 +83,37 @@ def write(df: DataFrame, path: str, kind: str = "parquet", created: bool = False
     to.option("header", True).csv(path) if kind == "csv" else to.parquet(path)
 
 
+def days(spark: SparkSession, path: str) -> DataFrame | None:
+    """A store whose days are folders, or None where there is none yet."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not (fs.exists(at) and any(x.getPath().getName().startswith("day=") for x in fs.listStatus(at))):
+        return None
+    return spark.read.parquet(path).drop("day")
+
+
+def upsert_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str]) -> int:
+    """Idempotent write that touches only the days of ``new``: their old rows and the new ones replace them when the job
+    commits. Returns the number of new rows. One writer at a time.
+
+    The new rows are written beside the store first, so what is merged does not depend on what is replaced.
+    """
+    beside = f"{path.rstrip('/')}.new"
+    new.withColumn("day", F.to_date("ts")).write.mode("overwrite").parquet(beside)
+    rows = spark.read.parquet(beside)
+    count = rows.count()
+    if count and days(spark, path) is not None:
+        # Dates of a column written by us: as many as there are days in the new rows.
+        touched = rows.select("day").distinct()
+        old = spark.read.parquet(path).join(F.broadcast(touched), "day", "left_semi")
+        rows = merged(old, rows, keys)
+    if count:
+        rows.repartition("day").write.mode("overwrite").partitionBy("day").option("partitionOverwriteMode", "dynamic").parquet(path)
+    at = spark._jvm.org.apache.hadoop.fs.Path(beside)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return count
+
+
 def read_range(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Rows of a written Parquet table with ts in [start, end]: only the days of the range are read."""
     out = spark.read.parquet(path)

@@ -8,7 +8,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from tickloom.functions.dialect import Spark, frame, lead
+from tickloom.operators import store
+from tickloom.plans import layers
 from tickloom.plans.layers import Layer
 
 
@@ -64,3 +69,93 @@ def barriers(d: Spark, t: Targets = Targets()) -> tuple[list[Layer], list[str]]:
             out[f"`y_tb_label_{name}`"], out[f"`y_tp_before_sl_{name}`"] = label, f"CASE WHEN ({label}) IS NULL THEN NULL WHEN ({label}) = 1 THEN 1 ELSE 0 END"
     plain = {k.strip("`"): v for k, v in out.items()}
     return [_entry(t), ahead, hits, plain], list(plain)
+
+
+def label_of(freq: str | None) -> str:
+    """The unit of horizon labels for bars of a frequency: h, min, d, or b (bars) where it is unknown."""
+    f = (freq or "").upper()
+    if f.endswith("H"):
+        return "h"
+    if f.endswith("T") or f in ("MIN", "MINUTE"):
+        return "min"
+    return "d" if f.endswith("D") else "b"
+
+
+def parse_pairs(pairs: list[str]) -> tuple[tuple[float, float], ...]:
+    """``tp:sl`` texts to barrier pairs; ValueError where one is no pair of positive numbers."""
+    out = []
+    for text in pairs:
+        up, colon, dn = text.partition(":")
+        if not colon:
+            raise ValueError(f"not a pair tp:sl: {text!r}")
+        out.append((float(up), float(dn)))
+        if not min(out[-1]) > 0:
+            raise ValueError(f"barriers must be positive: {text!r}")
+    return tuple(out)
+
+
+@dataclass(frozen=True)
+class Single:
+    """One stored target: whether the upper barrier is touched before the lower one within the horizon."""
+
+    dataset: str
+    horizon: int = 24
+    up: float = 0.04
+    down: float = 0.02
+    freq: str = "1H"
+    ties: str = "conservative"
+
+    @property
+    def key(self) -> str:
+        return f"y_tp_before_sl_u{self.up:g}_d{self.down:g}_{self.horizon}{label_of(self.freq)}"
+
+
+def single(bars: DataFrame, t: Single) -> DataFrame:
+    """(ts, dataset, target_key, target_value) for all bars of one symbol that have their whole horizon."""
+    made, _ = barriers(Spark(), Targets(horizons=(t.horizon,), barriers=((t.up, t.down),), ties=t.ties, label=label_of(t.freq)))
+    return store.to_targets(layers.apply(bars, made), t.dataset, [t.key])
+
+
+def backfill_rows(bars: DataFrame, stored: DataFrame, t: Single, mode: str = "window", start: str | None = None, end: str | None = None, wanted: list[str] | None = None, at_most: int | None = None, force: bool = False) -> DataFrame:
+    """The rows that a backfill would write.
+
+    ``window`` takes bars in [start, end], both needed; ``last_from_targets`` those an hour after the last stored time of
+    this target up to the last bar that has its horizon (ValueError if none is stored); ``ts_list`` the wanted times that are bars.
+    Times stored already are skipped unless ``force``; ``at_most`` keeps the first times of the mode, stored or not.
+    """
+    own = stored.where((F.col("dataset") == t.dataset) & (F.col("target_key") == t.key))
+    ts = F.col("ts")
+    if mode == "window":
+        if not (start and end):
+            raise ValueError("a window needs start and end")
+        times = bars.where((ts >= F.lit(start).cast("timestamp_ntz")) & (ts <= F.lit(end).cast("timestamp_ntz"))).select("ts")
+    elif mode == "last_from_targets":
+        last = own.agg(F.max("ts")).first()[0]
+        if last is None:
+            raise ValueError(f"no stored targets of {t.dataset} {t.key}: begin with a window")
+        most = bars.agg((F.max("ts") - F.expr(f"interval {t.horizon} hours")).alias("__most"))
+        times = bars.crossJoin(F.broadcast(most)).where((ts >= F.lit(last).cast("timestamp_ntz") + F.expr("interval 1 hour")) & (ts <= F.col("__most"))).select("ts")
+    elif mode == "ts_list":
+        if not wanted:
+            raise ValueError("a list needs times")
+        asked = bars.sparkSession.createDataFrame([(x.strip(),) for x in wanted], "t string").select(F.expr("try_cast(t as timestamp_ntz)").alias("ts"))
+        times = bars.select("ts").join(asked.dropna().distinct(), "ts", "left_semi")
+    else:
+        raise ValueError(f"unknown mode: {mode}")
+    times = times.distinct()
+    if at_most is not None:
+        times = times.orderBy("ts").limit(at_most)
+    made = single(bars, t).join(times, "ts", "left_semi")
+    out = made if force else store.missing(made, own, ["ts"])
+    return out.select("ts", "dataset", "target_key", "target_value")
+
+
+def backfill(spark: SparkSession, path: str, bars: DataFrame, t: Single, dry_run: bool = False, **mode) -> int:
+    """Writes a backfill's rows to the store at ``path`` with created_at and returns their number; a dry run only counts."""
+    stored = store.days(spark, path)
+    if stored is None:
+        stored = spark.createDataFrame([], "ts timestamp_ntz, dataset string, target_key string, target_value double")
+    rows = backfill_rows(bars, stored, t, **mode)
+    if dry_run:
+        return rows.count()
+    return store.upsert_days(spark, path, rows.withColumn("created_at", F.current_timestamp()), ["ts", "dataset", "target_key"])

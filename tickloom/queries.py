@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from tickloom.functions import derived, snapshot
 from tickloom.functions.dialect import Duck, Spark, kept_weight, lag, span
-from tickloom.operators import current_bar, hmm, store, targets
+from tickloom.operators import current_bar, hmm, lookback, store, targets
 from tickloom.plans import layers
 from tickloom.sources import bars
 
@@ -114,12 +114,16 @@ def features(base: DataFrame, timeframes: tuple[str, ...] = ("1H",), skip_slow:
     plans = [f for f in snapshot.FAMILIES if not (skip_slow and f in snapshot.SLOW)]
     out = None
     for tf in timeframes:
-        own = bundle(base if hmm.HOURS[tf] == 1 else bars.right_closed(base, hmm.HOURS[tf]), plans)
+        # Families that make nothing wanted are not planned at all.
+        needed = [p for p in plans if wanted is None or any(f"{clean(c)}_{tf}" in wanted for c in p(S)[1])]
+        if not needed:
+            continue
+        own = bundle(base if hmm.HOURS[tf] == 1 else bars.right_closed(base, hmm.HOURS[tf]), needed)
         named = own.toDF("symbol", "ts", *(f"{c}_{tf}" for c in own.columns[2:]))
         if hmm.HOURS[tf] > 1:
             named = bars.as_of(base.select("symbol", "ts"), named, named.columns[2:])
         out = named if out is None else out.join(named, ["symbol", "ts"])
-    return project(out, wanted, missing)
+    return project(base.select("symbol", "ts") if out is None else out, wanted, missing)
 
 
 _FAST = [f for f in snapshot.FAMILIES if f not in snapshot.SLOW]
@@ -178,6 +182,80 @@ simple(
     f"SELECT ts, round(a.close, 6) AS close_1H, round(b.close, 6) AS close_4H FROM ({ALL}) a FULL JOIN ({bars.right_closed_sql(ALL, 4)}) b USING (ts)",
 )
 
+_V2_FROM = [snapshot.returns_basic, snapshot.moving_averages, snapshot.volume_flow]
+
+
+def current_bars(base: DataFrame, timeframes: tuple[str, ...] = ("1H",)) -> DataFrame:
+    """Current-bar columns of each timeframe with its suffix, as of each hour."""
+    out = None
+    for tf in timeframes:
+        made, columns = current_bar.layers(S)
+        own = layers.apply(base if hmm.HOURS[tf] == 1 else bars.right_closed(base, hmm.HOURS[tf]), made).select("symbol", "ts", *(F.col(c).alias(f"{c}_{tf}") for c in columns))
+        if hmm.HOURS[tf] > 1:
+            own = bars.as_of(base.select("symbol", "ts"), own, own.columns[2:])
+        out = own if out is None else out.join(own, ["symbol", "ts"])
+    return out
+
+
+def hmm_v2(spark: SparkSession, sf_dir: str, timeframes: tuple[str, ...] = ("1H", "4H")) -> DataFrame:
+    base = hourly(spark, sf_dir)
+    wanted = [f"{c}_{tf}" for c in hmm.TABLES["v2"][0] for tf in timeframes]
+    return hmm.table(features(base, timeframes, wanted=wanted), rounded(current_bars(base, timeframes)), "v2", timeframes, drop_missing=True)
+
+
+def _hmm_v2_sql(timeframes: tuple[str, ...] = ("1H", "4H")) -> str:
+    joins, out = "", []
+    for tf in timeframes:
+        source = ALL if hmm.HOURS[tf] == 1 else bars.right_closed_sql(ALL, hmm.HOURS[tf])
+        made, _ = bundle_sql(source, _V2_FROM)
+        lines, _ = current_bar.layers(D)
+        joins += f" ASOF LEFT JOIN ({made}) f{tf} ON h.symbol = f{tf}.symbol AND h.ts >= f{tf}.ts"
+        joins += f" ASOF LEFT JOIN ({layers.to_sql(source, lines)} SELECT * FROM b{len(lines)}) c{tf} ON h.symbol = c{tf}.symbol AND h.ts >= c{tf}.ts"
+        indicators, current = hmm.TABLES["v2"]
+        out += [f"f{tf}.{c} AS {c}_{tf}" for c in indicators] + [f"round(CAST(c{tf}.{c} AS DOUBLE), 6) AS {c}_{tf}" for c in current]
+    names = [x.split(" AS ")[-1] for x in out]
+    return f"SELECT * FROM (SELECT h.symbol AS symbol, h.ts AS ts, {', '.join(out)} FROM ({ALL}) h{joins}) WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in names)
+
+
+simple("hmm_v2", hmm_v2, _hmm_v2_sql())
+
+#: Hourly bars of a stored lookback.
+BASE_ROWS = 168
+for _tf, _n in (("4H", "4h"), ("12H", "12h"), ("1D", "1d")):
+    simple(
+        f"lookback_bars_{_n}",
+        lambda s, d, tf=_tf: rounded(lookback.exploded(lookback.lookbacks(hourly(s, d, True), BASE_ROWS, tf))),
+        f"SELECT symbol, ts, label, {', '.join(f'round({c}, 6) AS {c}' for c in bars.COLUMNS)} FROM ({lookback.lookbacks_sql(TYPES, BASE_ROWS, hmm.HOURS[_tf])})",
+    )
+simple(
+    "lookback_features_4h",
+    lambda s, d: rounded(lookback.at_end(lookback.lookbacks(hourly(s, d), BASE_ROWS, "4H"), current_bar.layers)),
+    layers.to_sql(f"SELECT symbol || '@' || upto AS symbol, label AS ts, symbol AS own, upto, open, high, low, close, volume FROM (SELECT symbol, ts AS upto, label, open, high, low, close, volume FROM ({lookback.lookbacks_sql(ALL, BASE_ROWS, 4)}))", current_bar.layers(D)[0])
+    + f" SELECT own AS symbol, upto AS ts, {', '.join(f'round(CAST({c} AS DOUBLE), 6) AS {c}' for c in current_bar.layers(D)[1])} FROM b{len(current_bar.layers(D)[0])} QUALIFY row_number() OVER (PARTITION BY own, upto ORDER BY b{len(current_bar.layers(D)[0])}.ts DESC) = 1",
+)
+
+_SINGLE = targets.Single("events", horizon=6, up=0.5, down=0.5)
+
+
+def targets_backfill(spark: SparkSession, sf_dir: str, known: str = "interval 300 hours") -> DataFrame:
+    """What a resumed backfill adds to a store that holds the targets of the first 300 hours."""
+    base = hourly(spark, sf_dir)
+    ends = base.agg(F.min("ts").alias("a"))
+    stored = targets.single(base, _SINGLE).crossJoin(F.broadcast(ends)).where(f"ts < a + {known}").drop("a")
+    return rounded(targets.backfill_rows(base, stored, _SINGLE, "last_from_targets"))
+
+
+simple(
+    "targets_backfill",
+    targets_backfill,
+    f"""WITH n AS (SELECT ts, close, high, low, row_number() OVER (ORDER BY ts) AS k, min(ts) OVER () AS a, max(ts) OVER () AS z FROM ({ALL})),
+      p AS (SELECT e.ts AS ts, e.a AS a, e.z AS z, f.k AS k, f.high >= e.close * {1 + _SINGLE.up!r} AS up, f.low <= e.close * {1 - _SINGLE.down!r} AS dn FROM n e JOIN n f ON f.k BETWEEN e.k + 1 AND e.k + {_SINGLE.horizon} WHERE e.close > 0),
+      t AS (SELECT ts, any_value(a) AS a, any_value(z) AS z, count(*) AS n, arg_min(CASE WHEN up AND NOT dn THEN 1 ELSE 0 END, k) FILTER (up OR dn) AS won FROM p GROUP BY ts),
+      m AS (SELECT max(ts) AS last FROM t WHERE ts < a + INTERVAL 300 HOUR AND n = {_SINGLE.horizon})
+      SELECT ts, 'events' AS dataset, '{_SINGLE.key}' AS target_key, CAST(coalesce(won, 0) AS DOUBLE) AS target_value FROM t, m
+      WHERE n = {_SINGLE.horizon} AND ts >= last + INTERVAL 1 HOUR AND ts <= z - INTERVAL {_SINGLE.horizon} HOUR""",
+)
+
 _UNIFIED = "symbol, ts, " + ", ".join(f"round({c}, 6) AS {c}" for names in bars.SOURCES.values() for c in names.values()) + ", round(spot_num_trades, 6) AS spot_num_trades, round(spot_taker_buy_volume, 6) AS spot_taker_buy_volume"
 simple("merge_spine_left_join", lambda s, d: rounded(bars.unified(hourly(s, d, True), hourly(s, d))).select("symbol", "ts", *(c for n in bars.SOURCES.values() for c in n.values()), "spot_num_trades", "spot_taker_buy_volume"), f"SELECT {_UNIFIED} FROM ({bars.unified_sql()})")
 simple("continuity_check", lambda s, d: bars.continuity(hourly(s, d, True), 24), f"SELECT symbol, ts, n AS n_rows, n AS n_hours, CASE WHEN n = 24 THEN 1 ELSE 0 END AS complete FROM (SELECT symbol, ts, count(*) OVER (PARTITION BY symbol ORDER BY ts RANGE BETWEEN INTERVAL 23 HOUR PRECEDING AND CURRENT ROW) AS n FROM ({TYPES}))")
