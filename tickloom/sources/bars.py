@@ -5,6 +5,9 @@ Columns: symbol, ts (timestamp_ntz), open, high, low, close, volume (double).
 
 from __future__ import annotations
 
+import warnings
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -32,6 +35,11 @@ def hourly_sql(by_type: bool = False) -> str:
     return f"SELECT {symbol} AS symbol, CAST(date_trunc('hour', ts) AS TIMESTAMP) AS ts, arg_min(value, (ts, event_id)) AS open, max(value) AS high, min(value) AS low, arg_max(value, (ts, event_id)) AS close, CAST(count(*) AS DOUBLE) AS volume FROM events GROUP BY 1, 2"
 
 
+def time_column(df: DataFrame) -> str:
+    lower = {c.lower(): c for c in df.columns}
+    return next((lower[c] for c in ("timestamp", "time", "datetime", "date", "ts", "index") if c in lower), df.columns[0])
+
+
 def normalize(df: DataFrame, symbol: str = "ALL", arrival: str | None = None) -> DataFrame:
     """Any table with OHLCV columns (in any case, text or numbers) to bars.
 
@@ -40,7 +48,7 @@ def normalize(df: DataFrame, symbol: str = "ALL", arrival: str | None = None) ->
     arrival stays (``arrival`` names the column that says so; else the greatest values).
     """
     lower = {c.lower(): c for c in df.columns}
-    time = next((lower[c] for c in ("timestamp", "time", "datetime", "date", "ts", "index") if c in lower), df.columns[0])
+    time = time_column(df)
     missing = [c for c in COLUMNS if c not in lower]
     if missing:
         raise ValueError(f"missing columns: {missing}")
@@ -61,6 +69,12 @@ def read(spark: SparkSession, path: str, start: str | None = None, end: str | No
         raw = spark.read.parquet(path)
     else:
         raise ValueError(f"unsupported format: {kind}")
+    time = time_column(raw)
+    kind = dict(raw.dtypes)[time]
+    for bound, above in ((start, True), (end, False)):
+        if bound and kind.startswith("timestamp"):  # on the file's own column, so that the scan skips what is outside
+            at = F.lit(bound).cast("timestamp_ntz") if kind == "timestamp_ntz" else F.lit(datetime.fromisoformat(bound).isoformat() + "Z").cast("timestamp")
+            raw = raw.where(F.col(f"`{time}`") >= at if above else F.col(f"`{time}`") <= at)
     bars = normalize(raw, **options)
     if start:
         bars = bars.where(F.col("ts") >= F.lit(start).cast("timestamp_ntz"))
@@ -162,6 +176,25 @@ def unified(by_type: DataFrame, whole: DataFrame) -> DataFrame:
     return out.withColumn("spot_num_trades", F.col("spot_volume") + 1).withColumn("spot_taker_buy_volume", F.expr("spot_volume * spot_high / nullif(spot_high + spot_low, 0)"))
 
 
+def merge_sources(base: DataFrame, sources: dict[str, DataFrame | None], names: dict[str, dict[str, str]]) -> DataFrame:
+    """``base`` (symbol, ts) with each source's columns under their names here, one left join a source by (symbol, ts).
+
+    A source that is not there, or a column that it lacks, is warned of and gives NULLs; of a source's rows with one
+    key the greatest values stay.
+    """
+    out = base
+    for source, columns in names.items():
+        df = sources.get(source)
+        have = {a: b for a, b in columns.items() if df is not None and a in df.columns}
+        lost = [b for a, b in columns.items() if a not in have]
+        if lost:
+            warnings.warn(f"source {source}: no {', '.join(lost)}", stacklevel=2)
+        if have:
+            out = out.join(df.groupBy("symbol", "ts").agg(*(F.max(a).cast("double").alias(b) for a, b in have.items())), ["symbol", "ts"], "left")
+        out = out.select("*", *(F.lit(None).cast("double").alias(b) for b in lost))
+    return out.select(*base.columns, *(b for columns in names.values() for b in columns.values()))
+
+
 def unified_sql() -> str:
     joins = " ".join(f"LEFT JOIN (SELECT ts, {', '.join(f'{a} AS {b}' for a, b in names.items())} FROM ({hourly_sql(True)}) WHERE symbol = '{kind}') {kind}_t ON s.ts = {kind}_t.ts" for kind, names in SOURCES.items())
     columns = ", ".join(b for names in SOURCES.values() for b in names.values())
