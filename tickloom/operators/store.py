@@ -103,9 +103,8 @@ def upsert_days(spark: SparkSession, path: str, new: DataFrame, keys: list[str])
     rows = spark.read.parquet(beside)
     count = rows.count()
     if count and days(spark, path) is not None:
-        # Dates of a column written by us: as many as there are days in the new rows.
-        touched = rows.select("day").distinct()
-        old = spark.read.parquet(path).join(F.broadcast(touched), "day", "left_semi")
+        # The days come from a written table, whose size Spark knows: it broadcasts them only if they are few.
+        old = spark.read.parquet(path).join(rows.select("day").distinct(), "day", "left_semi")
         rows = merged(old, rows, keys)
     if count:
         rows.repartition("day").write.mode("overwrite").partitionBy("day").option("partitionOverwriteMode", "dynamic").parquet(path)
