@@ -207,6 +207,37 @@ def test_repeats(spark, folder):
     assert got == want
 
 
+def test_repeats_moves_no_bytes_for_anchors_met_by_chance(spark):
+    """Every text has one phrase, and its own letters up to it: shared sixteen-byte strings, no shared fifty bytes."""
+    rng = random.Random(4)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    some = spark.createDataFrame([(i, "".join(own(40) + " a phrase all have " for _ in range(20))) for i in range(60)], "doc_id long, text string")
+    repeats.common.prepare(spark)
+    shared = repeats.shared_anchors(repeats.exchange.grouped(some, repeats.text_hash()), repeats.copies(some))
+    assert not shared.count()
+    assert not any(r["n_removed"] for r in repeats.without_repeats(some).collect())
+
+
+def test_pieces_cover_all_windows():
+    """Each window once, in order, and equal windows under one key, whatever stands around them."""
+    rng = random.Random(6)
+    base = bytes(rng.choice(b"abc\x00d") for _ in range(400))
+    some = [b"x" * rng.randint(0, 60) + base[i : i + rng.randint(10, 200)] + b"y" * rng.randint(0, 9) for i in rng.sample(range(300), 60)]
+    text, size = joined(some)
+    ends = np.cumsum(size)
+    first, last, key, doc, place = repeats.pieces(text, ends)
+    at = [w for a, b in zip(first.tolist(), last.tolist(), strict=True) for w in range(a, b + 1)]
+    assert at == [w for e, n in zip(ends.tolist(), size.tolist(), strict=True) for w in range(e - n, e - 49)]
+    assert (doc == np.searchsorted(ends, first, "right")).all() and (place // 18 == (place - last + first) // 18).all()
+    keys: dict = {}
+    for a, b, k, p in zip(first.tolist(), last.tolist(), key.tolist(), place.tolist(), strict=True):
+        for w in range(a, b + 1):
+            keys.setdefault(text[w : w + 50].tobytes(), set()).add((k, p - w + a))
+    assert len(keys) < len(at) and all(len(x) == 1 for x in keys.values())
+    for numbers in (key, np.sort(key), place - 7, key[:0]):
+        assert (repeats.unpack(repeats.pack(numbers), numbers.dtype) == numbers).all()
+
+
 def joined(some):
     return np.frombuffer(b"".join(some), np.uint8), np.array([len(p) for p in some], np.int64)
 

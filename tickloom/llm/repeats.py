@@ -7,13 +7,13 @@ Exact copies of a whole text are folded first: copies of the one with the least
 of documents ask about their different texts, so that a text with very many copies is a few rows. Then:
 
 1. Every 50-byte window has one anchor: of the 16-byte strings inside it, the
-   leftmost of least hash. Equal windows have equal anchors, so only windows whose
-   anchor occurs in two documents can repeat. Groups ask buckets about their different
-   anchors (exchange.py).
-2. Neighbouring windows of one such anchor make a piece of at most 84 bytes. A bucket gets each
-   different piece of its anchors with the least id that has it. Windows with
-   the anchor at nearly the same place share the bytes around it that all of them have; those
-   bytes name a class, and equal windows are in one class. The member of least id stands for
+   leftmost of least hash. Windows with the anchor at nearly the same place (18 places) share the 33 or 34 bytes
+   around it that all of them have; those bytes name a class. Equal windows are in one class, so only windows
+   whose class occurs in two documents can repeat; sixteen bytes alone would meet by chance ever oftener as
+   tables grow. Groups ask buckets about their different classes (exchange.py), by 40 bits of the names, close together; the
+   answer is a bit each. Names that are alike in these bits only cost a piece sent in vain.
+2. Neighbouring windows of one such class make a piece of at most 67 bytes. A bucket gets each
+   different piece of its classes with the least id that has it. The member of least id stands for
    its class: such members are indexed, in slabs of ``SLAB`` bytes, by their run-compressed
    Burrows-Wheeler transform with text positions sampled at both ends of every run. The class's other members
    are streamed through the index from their ends, all at once, one byte a step:
@@ -39,11 +39,14 @@ from pyspark.sql import functions as F
 from tickloom.llm import common, exchange
 
 LENGTH, ANCHOR = 50, 16
+TWO = np.uint64(1)  # in a key that is asked: two documents have it
 SPREAD = LENGTH - ANCHOR + 1
 #: Bytes of text that are anchored, and indexed or streamed, at a time.
 CHUNK, SLAB = 1 << 21, 1 << 19
 #: Places of the anchor that a class spans, wide classes first.
 WIDTHS = (18, 6, 2, 1)
+#: Bits of a class's name that groups ask by.
+KEY_BITS = 40
 NONE = np.iinfo(np.int64).max
 
 
@@ -105,6 +108,36 @@ def hashes(words: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int) ->
     return out
 
 
+def pieces(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The runs of ``windows`` cut where a class of the widest kind ends: (first window, last window, class's key, document,
+    place of the anchor). Equal windows have equal keys; the lowest bit of a key is 0."""
+    first, last, _, doc, place = windows(text, ends)
+    width, least = WIDTHS[0], place - (last - first)
+    count = place // width - least // width + 1
+    run = np.repeat(np.arange(len(first)), count)
+    low = (place[run] // width - spread(np.zeros(len(count), np.int64), count)) * width
+    high = np.minimum(low + width, SPREAD) - 1
+    anchor, own = (first + place)[run], np.minimum(place[run], high)
+    name = hashes(words_at(text), anchor - low, LENGTH - high + low, LENGTH) ^ low.astype(np.uint64)
+    return anchor - own, anchor - np.maximum(least[run], low), name >> np.uint64(64 - KEY_BITS) << np.uint64(1), doc[run], own
+
+
+def split(keys: np.ndarray, n: int):
+    """(bucket, which of the ascending keys are its own). A bucket is a range of keys, so that differences are small."""
+    bucket = (keys >> np.uint64(KEY_BITS - 31)) * np.uint64(n) >> np.uint64(32)
+    edges = np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
+    return ((k, slice(edges[k], edges[k + 1])) for k in range(n) if edges[k] < edges[k + 1])
+
+
+def pack(x: np.ndarray) -> bytes:
+    """64-bit numbers, compressed with bytes of one rank together."""
+    return zstandard.compress(x.view("u1").reshape(-1, 8).T.tobytes(), 3)
+
+
+def unpack(raw: bytes, kind: str) -> np.ndarray:
+    return np.frombuffer(np.frombuffer(zstandard.decompress(raw), "u1").reshape(8, -1).T.tobytes(), kind)
+
+
 class Index:
     """r-index of texts: run-length BWT and text positions at run ends.
 
@@ -311,18 +344,17 @@ def _blobs(rows: list[dict], name: str, kind: str) -> np.ndarray:
 
 def piece_keys(text: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
     """A piece's key: all its bytes and its anchor's place."""
-    return hashes(words_at(text), first, last - first + LENGTH, 2 * LENGTH - ANCHOR) ^ place.astype(np.uint64)
+    return hashes(words_at(text), first, last - first + LENGTH, LENGTH + WIDTHS[0] - 1) ^ place.astype(np.uint64)
 
 
 ASK = "bucket int, g int, keys binary"
-SHARED = "g int, keys binary"
-ASK_PIECES = "bucket int, g int, ids binary, sizes binary, places binary, many binary, raw binary"
+SHARED = "g int, bucket int, hits binary"
+ASK_PIECES = "bucket int, g int, ids binary, shapes binary, raw binary"
 LEAST = "g int, keys binary, windows binary, runs binary, run_ids binary"
-TWO = np.uint64(1)
 
 
 def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
-    """Each group's anchors that two or more documents have."""
+    """For each group and bucket, which of the keys asked (anchors with the bytes around them) two or more documents have."""
     n = exchange.partitions(docs)
 
     def ask(table, got):
@@ -330,8 +362,8 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
         whole, _ = told(table, got)
         found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
-            _, _, h, doc, _ = windows(text, ends)
-            found[0].append(h | TWO)
+            _, _, key, doc, _ = pieces(text, ends)
+            found[0].append(key)
             found[1].append(np.array([ids[k] for k in some], np.int64)[doc])
         keys, own = np.concatenate(found[0]), np.concatenate(found[1])
         if not len(keys):
@@ -340,13 +372,14 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
         keys, own = keys[order], own[order]
         start = np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1])
         many = np.maximum.reduceat(own, start) != own[start]
-        keys = np.where(many, keys[start], keys[start] ^ TWO)  # the low bit says: two documents already here
+        keys = keys[start] | many.astype(np.uint64)  # the low bit says: two documents already here
         g = table.column("g")[0].as_py()
-        rows = [(k, g, keys[at].tobytes()) for k, at in exchange.split(keys, n)]
+        rows = [(k, g, pack(np.diff(keys[at], prepend=np.uint64(0)))) for k, at in split(keys, n)]
         return exchange.table_of(ASK, list(zip(*rows, strict=True)))
 
     def answer(rows):
-        keys = _blobs(rows, "keys", "<u8")
+        each = [np.cumsum(unpack(r["keys"], "<u8"), dtype=np.uint64) for r in rows]
+        keys = np.concatenate(each)
         order = np.argsort(keys | TWO, kind="stable")
         value, here = (keys | TWO)[order], (keys & TWO)[order] > 0
         start = np.concatenate([[0], np.flatnonzero(value[1:] != value[:-1]) + 1])
@@ -355,12 +388,11 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
         hit = np.empty(len(keys), bool)
         hit[order] = np.repeat(twice, times)
         at = 0
-        for r in rows:
-            n = len(r["keys"]) // 8
-            mine = (keys[at : at + n] | TWO)[hit[at : at + n]]
-            at += n
-            if len(mine):
-                yield r["g"], mine.tobytes()
+        for r, mine in zip(rows, each, strict=True):
+            hits = hit[at : at + len(mine)]
+            at += len(mine)
+            if hits.any():
+                yield r["g"], r["bucket"], np.packbits(hits).tobytes()
 
     return exchange.per_bucket(exchange.per_group_with(docs, same, ASK, ask), SHARED, answer)
 
@@ -373,13 +405,19 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         whole, rows = told(table, got)
         if not rows or not table.num_rows:
             return exchange.table_of(ASK_PIECES, [])
-        known = np.sort(_blobs(rows, "keys", "<u8"))
-        ids = table.column("doc_id").to_pylist()
+        ids, raws = table.column("doc_id").to_pylist(), table.column("b").to_pylist()
+        cut = [pieces(text, ends) for _, text, ends in chunks(ids, raws, whole)]
+        known = np.unique(np.concatenate([x[2] for x in cut] or [np.zeros(0, np.uint64)]))  # as in shared_anchors
+        hits = {r["bucket"]: r["hits"] for r in rows}
+        hit = np.zeros(len(known), bool)
+        for k, at in split(known, n):
+            if k in hits:
+                hit[at] = np.unpackbits(np.frombuffer(hits[k], "u1"), count=at.stop - at.start)
+        known = known[hit]
         found: list[list[np.ndarray]] = [[] for _ in range(6)]
-        for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
-            first, last, h, doc, place = windows(text, ends)
-            use = member(known, h | TWO)
-            first, last, h, place, whose = first[use], last[use], h[use] | TWO, place[use], np.array([ids[k] for k in some], np.int64)[doc[use]]
+        for (some, text, _), (first, last, h, doc, place) in zip(chunks(ids, raws, whole), cut, strict=True):
+            use = member(known, h)
+            first, last, h, place, whose = first[use], last[use], h[use], place[use], np.array([ids[k] for k in some], np.int64)[doc[use]]
             keys = piece_keys(text, first, last, place)
             order = np.lexsort((whose, keys))
             at = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -397,16 +435,19 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         at = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else order
         many = np.maximum.reduceat(most[order], at) > low[order][at] if len(at) else np.zeros(0, bool)
         at = order[at]
+        order = np.argsort(h[at], kind="stable")
+        at, many = at[order], many[order]
         g, out = table.column("g")[0].as_py(), []
-        for k, mine in exchange.split(h[at], n):
+        for k, mine in split(h[at], n):
             one = at[mine]
             blob = raw[spread(begin[one], size[one])].tobytes()
-            out.append((k, g, low[one].tobytes(), size[one].astype(np.uint8).tobytes(), place[one].astype(np.uint8).tobytes(), many[mine].tobytes(), zstandard.compress(blob, 3)))
+            out.append((k, g, pack(low[one]), zstandard.compress(np.stack([size[one], place[one], many[mine]]).astype(np.uint8).tobytes(), 3), zstandard.compress(blob, 3)))
         return exchange.table_of(ASK_PIECES, list(zip(*out, strict=True)))
 
     def answer(rows):
-        ids, size, place, many = (_blobs(rows, x, k) for x, k in (("ids", "<i8"), ("sizes", "u1"), ("places", "u1"), ("many", "u1")))
-        size, place = size.astype(np.int64), place.astype(np.int64)
+        each = [np.frombuffer(zstandard.decompress(r["shapes"]), "u1").reshape(3, -1) for r in rows]
+        size, place, many = np.concatenate(each, axis=1).astype(np.int64)
+        ids = np.concatenate([unpack(r["ids"], "<i8") for r in rows])
         raw = np.frombuffer(b"".join(zstandard.decompress(r["raw"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
         keys = piece_keys(raw, begin, begin + size - LENGTH, place)
@@ -418,8 +459,8 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         # An answer that removes nothing in its group is not sent.
         tells = (many > 0) | (np.minimum.reduceat(least, start)[back] < ids if len(start) else False)
         at = 0
-        for r in rows:
-            n = len(r["sizes"])
+        for r, shape in zip(rows, each, strict=True):
+            n = shape.shape[1]
             mine = back[at : at + n][tells[at : at + n]]
             at += n
             if not len(mine):
@@ -429,7 +470,7 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
             edge[np.cumsum(count[mine]) - count[mine]] = True
             edge[1:] |= flat[1:] != flat[:-1]
             runs = np.flatnonzero(edge)
-            yield r["g"], every[mine].tobytes(), count[mine].astype(np.uint8).tobytes(), np.diff(runs, append=len(flat)).astype(np.uint8).tobytes(), flat[runs].tobytes()
+            yield r["g"], every[mine].tobytes(), count[mine].astype(np.uint8).tobytes(), np.diff(runs, append=len(flat)).astype(np.uint8).tobytes(), pack(flat[runs])
 
     return exchange.per_bucket(exchange.per_group_with(docs, shared, ASK_PIECES, ask), LEAST, answer)
 
@@ -445,14 +486,15 @@ def marked(docs: DataFrame, least: DataFrame) -> DataFrame:
         ids, raw = table.column("doc_id").to_pylist(), table.column("b").to_pylist()
         spans: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         if rows and len(ids):
-            keys, runs, run_ids = (_blobs(rows, x, k) for x, k in (("keys", "<u8"), ("runs", "u1"), ("run_ids", "<i8")))
+            keys, runs = _blobs(rows, "keys", "<u8"), _blobs(rows, "runs", "u1")
+            run_ids = np.concatenate([unpack(r["run_ids"], "<i8") for r in rows])
             order = np.argsort(keys)
             ordered = keys[order]
             flat = np.repeat(run_ids, runs)
             count = _blobs(rows, "windows", "u1").astype(np.int64)
             starts = np.cumsum(count) - count
             for some, text, ends in chunks(ids, raw, whole):
-                first, last, _, doc, place = windows(text, ends)
+                first, last, _, doc, place = pieces(text, ends)
                 mine = piece_keys(text, first, last, place)
                 use = member(ordered, mine)
                 if use.any():
