@@ -225,7 +225,8 @@ def test_pieces_cover_all_windows():
     some = [b"x" * rng.randint(0, 60) + base[i : i + rng.randint(10, 200)] + b"y" * rng.randint(0, 9) for i in rng.sample(range(300), 60)]
     text, size = joined(some)
     ends = np.cumsum(size)
-    first, last, key, doc, place = repeats.pieces(text, ends)
+    first, last, h, doc, place = repeats.pieces(text, ends)
+    key = repeats.class_keys(text, first, h, place)
     at = [w for a, b in zip(first.tolist(), last.tolist(), strict=True) for w in range(a, b + 1)]
     assert at == [w for e, n in zip(ends.tolist(), size.tolist(), strict=True) for w in range(e - n, e - 49)]
     assert (doc == np.searchsorted(ends, first, "right")).all() and (place // 18 == (place - last + first) // 18).all()

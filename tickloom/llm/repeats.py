@@ -12,8 +12,8 @@ of documents ask about their different texts, so that a text with very many copi
    whose class occurs in two documents can repeat; sixteen bytes alone would meet by chance ever oftener as
    tables grow. Groups ask buckets about their different classes (exchange.py), by 40 bits of the names, close together; the
    answer is a bit each. Names that are alike in these bits only cost a piece sent in vain.
-2. Neighbouring windows of one such class make a piece of at most 67 bytes. A bucket gets each
-   different piece of its classes with the least id that has it. The member of least id stands for
+2. Neighbouring windows of one such anchor make a piece of at most 84 bytes. A bucket gets each
+   different piece of its anchors with the least id that has it. The member of least id stands for
    its class: such members are indexed, in slabs of ``SLAB`` bytes, by their run-compressed
    Burrows-Wheeler transform with text positions sampled at both ends of every run. The class's other members
    are streamed through the index from their ends, all at once, one byte a step:
@@ -45,8 +45,10 @@ SPREAD = LENGTH - ANCHOR + 1
 CHUNK, SLAB = 1 << 21, 1 << 19
 #: Places of the anchor that a class spans, wide classes first.
 WIDTHS = (18, 6, 2, 1)
-#: Bits of a class's name that groups ask by.
-KEY_BITS = 40
+#: Bytes of a part of the widest class.
+PART = LENGTH + WIDTHS[0] - 1
+#: Bits of the keys that groups ask by, and how many of them are the anchor's and give the bucket.
+KEY_BITS, BUCKET_BITS = 40, 18
 NONE = np.iinfo(np.int64).max
 
 
@@ -108,23 +110,37 @@ def hashes(words: np.ndarray, begin: np.ndarray, size: np.ndarray, most: int) ->
     return out
 
 
+def cut(most: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows in which the anchor's place falls from ``most`` to ``least``, cut where a class of the widest
+    kind ends: (run, most, least) of each part."""
+    width = WIDTHS[0]
+    count = most // width - least // width + 1
+    run = np.repeat(np.arange(len(most)), count)
+    low = (most[run] // width - spread(np.zeros(len(count), np.int64), count)) * width
+    return run, np.minimum(most[run], low + width - 1), np.maximum(least[run], low)
+
+
 def pieces(text: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The runs of ``windows`` cut where a class of the widest kind ends: (first window, last window, class's key, document,
-    place of the anchor). Equal windows have equal keys; the lowest bit of a key is 0."""
-    first, last, _, doc, place = windows(text, ends)
-    width, least = WIDTHS[0], place - (last - first)
-    count = place // width - least // width + 1
-    run = np.repeat(np.arange(len(first)), count)
-    low = (place[run] // width - spread(np.zeros(len(count), np.int64), count)) * width
-    high = np.minimum(low + width, SPREAD) - 1
-    anchor, own = (first + place)[run], np.minimum(place[run], high)
-    name = hashes(words_at(text), anchor - low, LENGTH - high + low, LENGTH) ^ low.astype(np.uint64)
-    return anchor - own, anchor - np.maximum(least[run], low), name >> np.uint64(64 - KEY_BITS) << np.uint64(1), doc[run], own
+    """``windows``, with their runs cut into parts of one class."""
+    first, last, h, doc, place = windows(text, ends)
+    run, most, least = cut(place, place - (last - first))
+    anchor = (first + place)[run]
+    return anchor - most, anchor - least, h[run], doc[run], most
+
+
+def class_keys(text: np.ndarray, first: np.ndarray, h: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Key of each part's class: bits of the anchor's hash, then of the name. Equal windows have equal keys; the lowest bit is 0."""
+    low = place // WIDTHS[0] * WIDTHS[0]
+    high = np.minimum(low + WIDTHS[0], SPREAD) - 1
+    name = hashes(words_at(text), first + place - low, LENGTH - high + low, LENGTH) ^ low.astype(np.uint64)
+    rest = KEY_BITS - BUCKET_BITS
+    return (common.mix64(h) >> np.uint64(64 - BUCKET_BITS) << np.uint64(rest) | name >> np.uint64(64 - rest)) << np.uint64(1)
 
 
 def split(keys: np.ndarray, n: int):
-    """(bucket, which of the ascending keys are its own). A bucket is a range of keys, so that differences are small."""
-    bucket = (keys >> np.uint64(KEY_BITS - 31)) * np.uint64(n) >> np.uint64(32)
+    """(bucket, which of the ascending keys are its own). A bucket is a range of keys, so that differences are small, and has
+    all classes of its anchors."""
+    bucket = (keys >> np.uint64(KEY_BITS - BUCKET_BITS + 1)) * np.uint64(n) >> np.uint64(BUCKET_BITS)
     edges = np.searchsorted(bucket, np.arange(n + 1, dtype=np.uint64))
     return ((k, slice(edges[k], edges[k + 1])) for k in range(n) if edges[k] < edges[k + 1])
 
@@ -342,9 +358,9 @@ def _blobs(rows: list[dict], name: str, kind: str) -> np.ndarray:
     return np.frombuffer(b"".join(r[name] for r in rows), kind)
 
 
-def piece_keys(text: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A piece's key: all its bytes and its anchor's place."""
-    return hashes(words_at(text), first, last - first + LENGTH, LENGTH + WIDTHS[0] - 1) ^ place.astype(np.uint64)
+def piece_keys(text: np.ndarray, first: np.ndarray, last: np.ndarray, place: np.ndarray, most: int = 2 * LENGTH - ANCHOR) -> np.ndarray:
+    """A piece's key: all its bytes, at most ``most``, and its anchor's place."""
+    return hashes(words_at(text), first, last - first + LENGTH, most) ^ place.astype(np.uint64)
 
 
 ASK = "bucket int, g int, keys binary"
@@ -362,8 +378,8 @@ def shared_anchors(docs: DataFrame, same: DataFrame) -> DataFrame:
         whole, _ = told(table, got)
         found = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for some, text, ends in chunks(ids, table.column("b").to_pylist(), whole):
-            _, _, key, doc, _ = pieces(text, ends)
-            found[0].append(key)
+            first, _, h, doc, place = pieces(text, ends)
+            found[0].append(class_keys(text, first, h, place))
             found[1].append(np.array([ids[k] for k in some], np.int64)[doc])
         keys, own = np.concatenate(found[0]), np.concatenate(found[1])
         if not len(keys):
@@ -406,8 +422,11 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         if not rows or not table.num_rows:
             return exchange.table_of(ASK_PIECES, [])
         ids, raws = table.column("doc_id").to_pylist(), table.column("b").to_pylist()
-        cut = [pieces(text, ends) for _, text, ends in chunks(ids, raws, whole)]
-        known = np.unique(np.concatenate([x[2] for x in cut] or [np.zeros(0, np.uint64)]))  # as in shared_anchors
+        keyed = []
+        for _, text, ends in chunks(ids, raws, whole):
+            first, last, h, doc, place = pieces(text, ends)
+            keyed.append((first, last, class_keys(text, first, h, place), doc, place))
+        known = np.unique(np.concatenate([x[2] for x in keyed] or [np.zeros(0, np.uint64)]))  # as in shared_anchors
         hits = {r["bucket"]: r["hits"] for r in rows}
         hit = np.zeros(len(known), bool)
         for k, at in split(known, n):
@@ -415,9 +434,13 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
                 hit[at] = np.unpackbits(np.frombuffer(hits[k], "u1"), count=at.stop - at.start)
         known = known[hit]
         found: list[list[np.ndarray]] = [[] for _ in range(6)]
-        for (some, text, _), (first, last, h, doc, place) in zip(chunks(ids, raws, whole), cut, strict=True):
-            use = member(known, h)
-            first, last, h, place, whose = first[use], last[use], h[use], place[use], np.array([ids[k] for k in some], np.int64)[doc[use]]
+        for (some, text, _), (first, last, h, doc, place) in zip(chunks(ids, raws, whole), keyed, strict=True):
+            use = np.flatnonzero(member(known, h))
+            # Neighbouring parts around one place of an anchor go as one piece.
+            new = np.ones(len(use), bool)
+            new[1:] = (first + place)[use[1:]] != (first + place)[use[:-1]]
+            last, use = last[use[np.flatnonzero(np.append(new[1:], True))]] if len(use) else last[use], use[new]
+            first, h, place, whose = first[use], h[use], place[use], np.array([ids[k] for k in some], np.int64)[doc[use]]
             keys = piece_keys(text, first, last, place)
             order = np.lexsort((whose, keys))
             at = np.flatnonzero(np.concatenate([[True], keys[order][1:] != keys[order][:-1]])) if len(keys) else np.zeros(0, np.int64)
@@ -451,18 +474,24 @@ def least_of_windows(docs: DataFrame, shared: DataFrame) -> DataFrame:
         raw = np.frombuffer(b"".join(zstandard.decompress(r["raw"]) for r in rows), np.uint8)
         begin = np.cumsum(size) - size
         keys = piece_keys(raw, begin, begin + size - LENGTH, place)
-        every, one, back = np.unique(keys, return_index=True, return_inverse=True)
-        low = np.full(len(every), NONE)
+        _, one, back = np.unique(keys, return_index=True, return_inverse=True)
+        low = np.full(len(one), NONE)
         np.minimum.at(low, back, ids)
         least, start = least_ids(raw, begin[one], size[one], place[one], low)
-        count = size[one] - LENGTH + 1
-        # An answer that removes nothing in its group is not sent.
-        tells = (many > 0) | (np.minimum.reduceat(least, start)[back] < ids if len(start) else False)
+        # Parts of the pieces, in the order of ``least``; groups are answered part by part.
+        run, top, bottom = cut(place[one], place[one] - (size[one] - LENGTH))
+        ahead, count = place[one][run] - top, top - bottom + 1
+        start, at_part, parts = start[run] + ahead, np.searchsorted(run, np.arange(len(one))), np.bincount(run, minlength=len(one))
+        every = piece_keys(raw, begin[one][run] + ahead, begin[one][run] + ahead + count - 1, top, PART)
+        lowest = np.minimum.reduceat(least, start) if len(start) else least
         at = 0
         for r, shape in zip(rows, each, strict=True):
             n = shape.shape[1]
-            mine = back[at : at + n][tells[at : at + n]]
+            whole = back[at : at + n]
+            mine, asked = spread(at_part[whole], parts[whole]), np.repeat(np.arange(at, at + n), parts[whole])
             at += n
+            mine = mine[(many[asked] > 0) | (lowest[mine] < ids[asked])]  # an answer that removes nothing in its group is not sent
+            mine = mine[np.unique(every[mine], return_index=True)[1]]
             if not len(mine):
                 continue
             flat = least[spread(start[mine], count[mine])]
@@ -495,7 +524,7 @@ def marked(docs: DataFrame, least: DataFrame) -> DataFrame:
             starts = np.cumsum(count) - count
             for some, text, ends in chunks(ids, raw, whole):
                 first, last, _, doc, place = pieces(text, ends)
-                mine = piece_keys(text, first, last, place)
+                mine = piece_keys(text, first, last, place, PART)
                 use = member(ordered, mine)
                 if use.any():
                     at = order[np.searchsorted(ordered, mine[use])]
